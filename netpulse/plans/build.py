@@ -46,20 +46,29 @@ def build_gold(spark: SparkSession, cfg: EngineConfig, dates: Dates | None = Non
     silver = read_silver(spark, cfg)
     if dates is not None:
         silver = silver.filter(on_dates(dates))
-    _store(balanced(gold.device_rollup(silver), DATE), cfg, cfg.gold(ROLLUP), dates)
-    rollup = _on(read_table(spark, cfg, cfg.gold(ROLLUP)), dates)
+    reduced = gold.device_rollup(silver)
+    _store(balanced(reduced, DATE), cfg, cfg.gold(ROLLUP), dates)
+    rollup = _on(read_table(spark, cfg, cfg.gold(ROLLUP), reduced.schema), dates)
     for name, build in gold.BUILDERS.items():
         _store(balanced(build(rollup), DATE), cfg, cfg.gold(name), dates)
     return read_gold(spark, cfg)
 
 
 def read_gold(spark: SparkSession, cfg: EngineConfig) -> dict[str, DataFrame]:
-    return {name: read_table(spark, cfg, cfg.gold(name)) for name in gold.BUILDERS}
+    return {name: read_gold_table(spark, cfg, name) for name in gold.BUILDERS}
+
+
+def read_gold_table(spark: SparkSession, cfg: EngineConfig, name: str) -> DataFrame:
+    schema = CONTRACTS[name].gold_schema
+    return read_table(spark, cfg, cfg.gold(name), schema).select(*schema.names)
 
 
 def audit_gold(spark: SparkSession, cfg: EngineConfig) -> DataFrame:
     """Row counts of the Gold tables as stored, 0 for a table that was never built."""
-    return quality.audit({name: read_table_or_none(spark, cfg, cfg.gold(name)) for name in gold.BUILDERS})
+    stored = {
+        name: read_table_or_none(spark, cfg, cfg.gold(name), CONTRACTS[name].gold_schema) for name in gold.BUILDERS
+    }
+    return quality.audit(stored)
 
 
 def load_serving(
@@ -74,7 +83,7 @@ def load_serving(
     """
     for name in tables or CONTRACTS:
         contract = CONTRACTS[name]
-        source = _on(read_table(spark, cfg, cfg.gold(name)), dates)
+        source = _on(read_gold_table(spark, cfg, name), dates)
         valid, rejected = loading.split_by_contract(source, contract)
         _store(clustered(valid, contract), cfg, cfg.serving(name), dates)
         _store(rejected, cfg, rejects_path(cfg, name), dates)

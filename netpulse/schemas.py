@@ -135,6 +135,12 @@ class Contract:
             [T.StructField(f.name, _struct((f.name, f.kind))[0].dataType, not f.required) for f in self.fields]
         )
 
+    @property
+    def gold_schema(self) -> T.StructType:
+        """Layout of the Gold table behind this contract: zoned timestamps, no load time."""
+        zoned = {"timestamp_ntz": "timestamp"}
+        return _struct(*[(f.name, zoned.get(f.kind, f.kind)) for f in self.fields if f.name != "_sf_load_ts"])
+
     def with_limits(self, **limits: int) -> "Contract":
         """The same contract with other text limits for the named columns."""
         known = {f.name for f in self.fields}
