@@ -15,6 +15,8 @@ class EngineConfig:
     ``record_source`` is ``kafka`` (needs the connector package on the class path) or ``files``
     (a folder of Parquet files with the Kafka record layout). ``table_format`` is any Spark file
     format or table connector; ``parquet`` needs nothing beyond Spark, ``delta`` its package.
+    ``fan_out`` says how Silver and Alerts follow Bronze; one deployment keeps to one way, because a
+    file table written by a stream lists its files in the stream's own log.
     """
 
     base_path: str
@@ -33,6 +35,7 @@ class EngineConfig:
     alerts_every: str = "10 seconds"
     available_now: bool = False
     alerts_from: str = "bronze"
+    fan_out: str = "two_queries"
     alert_tier: str = "actionable"
     quarantine: bool = False
     sink_options: dict[str, str] = field(default_factory=dict)
@@ -41,6 +44,7 @@ class EngineConfig:
         for name, allowed in (
             ("record_source", ("kafka", "files")),
             ("alerts_from", ("bronze", "source")),
+            ("fan_out", ("two_queries", "single_scan")),
             ("alert_tier", ("actionable", "critical")),
         ):
             if getattr(self, name) not in allowed:

@@ -59,8 +59,7 @@ def read_gold(spark: SparkSession, cfg: EngineConfig) -> dict[str, DataFrame]:
 
 
 def read_gold_table(spark: SparkSession, cfg: EngineConfig, name: str) -> DataFrame:
-    schema = CONTRACTS[name].gold_schema
-    return read_table(spark, cfg, cfg.gold(name), schema).select(*schema.names)
+    return read_table(spark, cfg, cfg.gold(name), CONTRACTS[name].gold_schema)
 
 
 def audit_gold(spark: SparkSession, cfg: EngineConfig) -> DataFrame:
@@ -95,8 +94,7 @@ def rejects_path(cfg: EngineConfig, name: str) -> str:
 
 
 def read_serving(spark: SparkSession, cfg: EngineConfig, name: str) -> DataFrame:
-    contract = CONTRACTS[name]
-    return read_table(spark, cfg, cfg.serving(name), contract.schema).select(*contract.schema.names)
+    return read_table(spark, cfg, cfg.serving(name), CONTRACTS[name].schema)
 
 
 def create_serving_tables(spark: SparkSession, cfg: EngineConfig, database: str = "serving") -> list[str]:

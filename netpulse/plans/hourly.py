@@ -47,7 +47,7 @@ def run_hourly(
         return HourlyReport("skipped")
 
     catch_up = cfg.but(available_now=True)
-    layers.drain(layers.start_silver(spark, catch_up), layers.start_alerts(spark, catch_up))
+    layers.drain(*layers.start_enriched(spark, catch_up))
 
     silver = build.read_silver(spark, cfg)
     dates = build.touched_dates(silver, since) if since is not None else None

@@ -34,6 +34,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_disk_state(spark: SparkSession) -> SparkSession:
+    """Keep streaming state in RocksDB, so that it may exceed executor memory; a chosen store stays."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    if spark.conf.get(key).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, rocks)
+    return spark
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 

@@ -10,13 +10,16 @@ from netpulse.config import EngineConfig
 
 
 def read_table(spark: SparkSession, cfg: EngineConfig, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A layer table. With ``schema`` nothing is inferred; without, file schemas are merged."""
+    """A layer table: the columns of ``schema``, with nothing inferred from files.
+
+    Without ``schema`` the layouts of all files are merged, which opens every file footer.
+    """
     reader = spark.read.format(cfg.table_format)
-    if cfg.table_format == "delta":
-        return reader.load(path)
-    if schema is not None:
-        return reader.schema(schema).load(path)
-    return reader.option("mergeSchema", "true").load(path)
+    if schema is None:
+        return reader.option("mergeSchema", "true").load(path)
+    if cfg.table_format != "delta":
+        reader = reader.schema(schema)
+    return reader.load(path).select(*schema.names)
 
 
 def read_table_or_none(
@@ -34,8 +37,10 @@ def read_table_or_none(
 def stream_table(spark: SparkSession, cfg: EngineConfig, path: str, schema: T.StructType) -> DataFrame:
     """New rows of an append-only layer table as they are committed."""
     reader = spark.readStream.format(cfg.table_format)
-    if cfg.table_format == "delta":
-        return reader.option("ignoreChanges", "true").load(path)
     if cfg.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
-    return reader.schema(schema).load(path)
+    if cfg.table_format == "delta":
+        reader = reader.option("ignoreChanges", "true")
+    else:
+        reader = reader.schema(schema)
+    return reader.load(path).select(*schema.names)

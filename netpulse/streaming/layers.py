@@ -83,6 +83,13 @@ def start_silver_and_alerts(spark: SparkSession, cfg: EngineConfig) -> Streaming
     )
 
 
+def start_enriched(spark: SparkSession, cfg: EngineConfig) -> list[StreamingQuery]:
+    """Silver and Alerts in the way ``cfg.fan_out`` names."""
+    if cfg.fan_out == "single_scan":
+        return [start_silver_and_alerts(spark, cfg)]
+    return [start_silver(spark, cfg), start_alerts(spark, cfg)]
+
+
 def append_stream(
     df: DataFrame,
     cfg: EngineConfig,

@@ -30,6 +30,8 @@ def spark(tmp_path_factory):
         {
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",
+            "spark.sql.debug.maxToStringFields": "2000",
+            "spark.sql.maxMetadataStringLength": "100000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },

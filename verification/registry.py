@@ -22,7 +22,7 @@ from netpulse.operators import silver as S
 from netpulse.operators import views as V
 from netpulse.plans import build
 from netpulse.plans.writing import replace_table
-from netpulse.session import fresh_folder, use_utc
+from netpulse.session import fresh_folder, use_disk_state, use_utc
 from netpulse.sources import records as R
 from netpulse.sources import telemetry as X
 from netpulse.sources.tables import read_table
@@ -492,7 +492,7 @@ def ext_dedup_events(spark, sf_dir):
 @query
 def ext_dedup_stream(spark, sf_dir):
     """Every record delivered twice, on a stream."""
-    cfg = workspace(spark, "dedup")
+    cfg = workspace(use_disk_state(spark), "dedup")
     twice = record_stream(spark, sf_dir).unionByName(record_stream(spark, sf_dir))
     unique = S.to_silver(stateful.deduplicate_stream(B.to_bronze(twice)))
     layers.drain(layers.append_stream(unique, cfg, "unique", cfg.silver, cfg.silver_every, layers.SILVER_PARTITIONS))
@@ -517,7 +517,7 @@ def ext_critical_alerts(spark, sf_dir):
 
 @query
 def ext_windowed_health(spark, sf_dir):
-    cfg = workspace(spark, "windows")
+    cfg = workspace(use_disk_state(spark), "windows")
     windows = stateful.windowed_device_health(S.to_silver(B.to_bronze(record_stream(spark, sf_dir))))
     layers.drain(layers.append_stream(windows, cfg, "windows", cfg.table("windows"), cfg.silver_every))
     return health_rounded(read_table(spark, cfg, cfg.table("windows"), windows.schema))
