@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field, replace
 
+from pyspark.sql import SparkSession
+
 from netpulse import domain
+from netpulse.session import shared_root
 
 
 @dataclass(frozen=True)
@@ -53,12 +56,20 @@ class EngineConfig:
             raise ValueError("record_source='files' needs records_path")
 
     @classmethod
-    def detect(cls, mount: str = "/mnt/delta", checkpoints: str = "/mnt/checkpoints", **overrides) -> "EngineConfig":
-        """Mounted cluster paths when ``mount`` exists, local development paths otherwise."""
+    def detect(
+        cls, spark: SparkSession, mount: str = "/mnt/delta", checkpoints: str = "/mnt/checkpoints", **overrides
+    ) -> "EngineConfig":
+        """Mounted cluster paths when ``mount`` exists; else local development paths.
+
+        Off a local master there is no machine-local fallback: everything then goes below the shared
+        folder of the session.
+        """
         if os.path.exists(mount):
             defaults = dict(base_path=mount, checkpoint_path=checkpoints, bootstrap_servers="kafka-broker:9092")
-        else:
+        elif spark.sparkContext.master.startswith("local"):
             defaults = dict(base_path="/tmp/streaming", checkpoint_path="/tmp/streaming/checkpoints")
+        else:
+            return cls.under(f"{shared_root(spark)}/netpulse", **overrides)
         return cls(**{**defaults, **overrides})
 
     @classmethod

@@ -12,7 +12,7 @@ from netpulse.operators import quality
 from netpulse.plans import build
 from netpulse.plans.writing import on_dates
 from netpulse.schemas import ALERTS, BRONZE
-from netpulse.session import use_utc
+from netpulse.session import prepare
 from netpulse.sources.tables import read_table_or_none
 from netpulse.streaming import layers
 
@@ -41,7 +41,7 @@ def run_hourly(
     event dates that received Silver rows from that moment on (use the start of the last successful
     run); without it everything is rebuilt. A failed enforced check raises before Gold is touched.
     """
-    use_utc(spark)
+    prepare(spark)
     bronze = read_table_or_none(spark, cfg, cfg.bronze, BRONZE)
     if bronze is None or not quality.has_recent_records(bronze, as_of):
         return HourlyReport("skipped")

@@ -16,7 +16,7 @@ from netpulse.config import EngineConfig
 from netpulse.operators.bronze import rejects, to_bronze
 from netpulse.operators.silver import enriched, select_alerts, to_alerts, to_silver
 from netpulse.schemas import ALERTS, BRONZE, SILVER
-from netpulse.session import use_utc
+from netpulse.session import prepare
 from netpulse.sources.records import stream_records
 from netpulse.sources.tables import stream_table
 
@@ -26,7 +26,7 @@ SILVER_PARTITIONS = ("event_date", "severity")
 
 def start_bronze(spark: SparkSession, cfg: EngineConfig, records: DataFrame | None = None) -> StreamingQuery:
     """Records to Bronze. ``cfg.quarantine`` keeps unreadable records out (see :func:`start_rejects`)."""
-    source = stream_records(use_utc(spark), cfg) if records is None else records
+    source = stream_records(prepare(spark), cfg) if records is None else records
     return append_stream(
         to_bronze(source, drop_rejects=cfg.quarantine), cfg, "bronze", cfg.bronze, cfg.bronze_every, BRONZE_PARTITIONS
     )
@@ -34,12 +34,12 @@ def start_bronze(spark: SparkSession, cfg: EngineConfig, records: DataFrame | No
 
 def start_rejects(spark: SparkSession, cfg: EngineConfig, records: DataFrame | None = None) -> StreamingQuery:
     """Unreadable records, raw, to the rejects table."""
-    source = stream_records(use_utc(spark), cfg) if records is None else records
+    source = stream_records(prepare(spark), cfg) if records is None else records
     return append_stream(rejects(source), cfg, "rejects", cfg.rejects, cfg.bronze_every)
 
 
 def start_silver(spark: SparkSession, cfg: EngineConfig) -> StreamingQuery:
-    bronze = stream_table(use_utc(spark), cfg, cfg.bronze, BRONZE)
+    bronze = stream_table(prepare(spark), cfg, cfg.bronze, BRONZE)
     return append_stream(to_silver(bronze), cfg, "silver", cfg.silver, cfg.silver_every, SILVER_PARTITIONS)
 
 
@@ -49,7 +49,7 @@ def start_alerts(spark: SparkSession, cfg: EngineConfig, records: DataFrame | No
     They follow Bronze commits, or, with ``cfg.alerts_from='source'``, the topic itself, which
     saves the wait for the Bronze trigger.
     """
-    use_utc(spark)
+    prepare(spark)
     if records is not None or cfg.alerts_from == "source":
         bronze = to_bronze(stream_records(spark, cfg) if records is None else records, drop_rejects=cfg.quarantine)
     else:
@@ -63,7 +63,7 @@ def start_silver_and_alerts(spark: SparkSession, cfg: EngineConfig) -> Streaming
     A micro-batch is written into partitions that carry its batch id. If a batch is replayed after a
     failure it overwrites exactly those partitions, so rows are neither lost nor doubled.
     """
-    bronze = stream_table(use_utc(spark), cfg, cfg.bronze, BRONZE)
+    bronze = stream_table(prepare(spark), cfg, cfg.bronze, BRONZE)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("_batch_id", F.lit(batch_id)).persist()

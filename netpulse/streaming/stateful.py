@@ -26,16 +26,12 @@ def deduplicate_stream(events: DataFrame, delay: str = "1 hour", spread: int = 1
     return sliced.dropDuplicatesWithinWatermark(["_identity"]).drop("_identity", "_slice")
 
 
-def _in_windows(silver: DataFrame, keys: list[str], delay: str, length: str) -> DataFrame:
-    timed = silver.withWatermark("event_ts", delay)
-    parts = contributions(timed).withColumn("window", F.window("first_ts", length))
-    return parts, ["window", *keys]
-
-
 def windowed_device_health(silver: DataFrame, delay: str = "1 hour", length: str = "1 hour") -> DataFrame:
     """Device health per tumbling window; a window is emitted once the watermark has passed its end."""
     readings = silver.filter(F.col("event_type") == domain.DEVICE_HEALTH)
-    parts, keys = _in_windows(readings, ["device_id", "device_type", "location", "location_type"], delay, length)
+    # An event's first_ts contribution is its own time, so it also places the event in a window.
+    parts = contributions(readings.withWatermark("event_ts", delay)).withColumn("window", F.window("first_ts", length))
+    keys = ["window", "device_id", "device_type", "location", "location_type"]
     means = {short: ratio(F.col(f"{short}_sum"), F.col(f"{short}_n")) for short in ("cpu", "memory", "temp")}
     scored = merge(parts, keys).withColumns(
         {**{f"mean_{k}": v for k, v in means.items()}, "health_score": kpi.health_score(*means.values())}

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import pytest
 
-from netpulse import EngineConfig, use_utc
+from netpulse import EngineConfig, prepare
 from netpulse.session import fresh_folder, shared_root
 
 
-def test_detect_switches_between_mount_and_local(tmp_path):
-    local = EngineConfig.detect(mount=str(tmp_path / "missing"))
+def test_detect_switches_between_mount_and_local(spark, tmp_path):
+    local = EngineConfig.detect(spark, mount=str(tmp_path / "missing"))
     assert local.bronze == "/tmp/streaming/bronze" and local.checkpoint("bronze") == "/tmp/streaming/checkpoints/bronze"
     assert local.bootstrap_servers == "localhost:9092"
-    mounted = EngineConfig.detect(mount=str(tmp_path), checkpoints="/ckpt", table_format="delta")
+    mounted = EngineConfig.detect(spark, mount=str(tmp_path), checkpoints="/ckpt", table_format="delta")
     assert mounted.silver == f"{tmp_path}/silver" and mounted.checkpoint("silver") == "/ckpt/silver"
     assert mounted.bootstrap_servers == "kafka-broker:9092" and mounted.table_format == "delta"
 
@@ -42,6 +42,12 @@ def test_shared_root_is_the_checkpoint_folder_of_the_session(spark):
     assert one != two and one.startswith(shared_root(spark))
 
 
-def test_use_utc_sets_the_session_zone(spark):
+def test_prepare_sets_zone_and_method_limit_but_keeps_a_chosen_limit(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-    assert use_utc(spark).conf.get("spark.sql.session.timeZone") == "UTC"
+    assert prepare(spark).conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get(key) == "5000"
+    spark.conf.set(key, "7000")
+    assert prepare(spark).conf.get(key) == "7000"
+    spark.conf.unset(key)
+    assert prepare(spark).conf.get(key) == "5000"

@@ -22,7 +22,7 @@ from netpulse.operators import silver as S
 from netpulse.operators import views as V
 from netpulse.plans import build
 from netpulse.plans.writing import replace_table
-from netpulse.session import fresh_folder, use_disk_state, use_utc
+from netpulse.session import fresh_folder, use_disk_state, prepare
 from netpulse.sources import records as R
 from netpulse.sources import telemetry as X
 from netpulse.sources.tables import read_table
@@ -34,7 +34,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(fn(use_utc(spark), sf_dir))
+        return comparable(fn(prepare(spark), sf_dir))
 
     QUERIES[fn.__name__] = run
     return run
