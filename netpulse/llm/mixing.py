@@ -126,4 +126,9 @@ def _fill(plan: DataFrame) -> DataFrame:
         plan = plan.withColumns(
             {"open": F.col("open") - F.col("filled"), "extra": F.col("extra") | F.col("now")}
         )
-    return plan.drop("open", "reach", "now", "filled")
+    # the last step may overshoot: the smallest slot left out enters if that comes nearer to the target
+    left_out = F.when(~F.col("extra") & (F.col("slot_size") > 0), F.struct("slot_size", "slot"))
+    plan = plan.withColumn("least", F.min(left_out).over(source))
+    nearer = (F.col("slot") == F.col("least.slot")) & (F.col("slot_size") < 2 * F.col("open"))
+    plan = plan.withColumn("extra", F.col("extra") | F.coalesce(nearer, F.lit(False)))
+    return plan.drop("open", "reach", "now", "filled", "least")

@@ -133,11 +133,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     whole becomes empty, no row goes. Each text is shuffled once, to meet its spans.
     """
     names = docs.columns
-    spans = repeated_chunks(docs).withColumnsRenamed({"_key_id": "_span_id", "_key_text": "_span_text"})
+    spans = repeated_chunks(docs).withColumnsRenamed(
+        {"_key_id": "_span_id", "_key_text": "_span_text", "spans": "_spans"}
+    )
     keyed = with_row_key(docs).join(spans, F.expr("_key_id = _span_id AND _key_text = _span_text"), "left")
     kept = [n for n in names if n != "text"]
     source = keyed.select(
-        F.col("text").alias("_in"), F.col("spans.start").alias("_a"), F.col("spans.size").alias("_b"), F.col("spans.words").alias("_w"),
+        F.col("text").alias("_in"), F.col("_spans.start").alias("_a"), F.col("_spans.size").alias("_b"), F.col("_spans.words").alias("_w"),
         *[F.col(n).alias(f"_c{i}") for i, n in enumerate(kept)],
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -10,16 +11,18 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from netpulse.llm.common import stored
 
 #: The classifier is fitted on at most this many labelled documents of each class, of this many bytes each.
-SAMPLE_PER_CLASS, SAMPLE_BYTES = 6000, 20_000
-#: Words enter the toxic text from so many sample documents on, and if so many times as frequent there.
-LEAST_DOCS, LEAST_RATIO = 4, 12.0
+SAMPLE_PER_CLASS, SAMPLE_BYTES = {1: 6000, 0: 12_000}, 20_000
+#: Words enter the toxic text if in so many sample documents, so many times as frequent there, and
+#: with a log-likelihood ratio against chance of so many nats.
+LEAST_DOCS, LEAST_RATIO, LEAST_EVIDENCE = 3, 8.0, 7.0
 #: Words that the dictionaries are trained on at most, and the dictionaries' bytes: toxic, ordinary.
 WORDS = (20_000, 60_000)
 DICTIONARY = (16_384, 100_000)
@@ -27,8 +30,8 @@ DICTIONARY = (16_384, 100_000)
 THRESHOLD = 0.3
 #: Rows of the toxicity training fold: crc32(doc_id as text) mod FOLDS is not HELD_OUT.
 FOLDS, HELD_OUT = 4, 2
-#: Words a worker remembers.
-REMEMBERED = 300_000
+#: Words a worker remembers, and characters of text whose words are looked up together.
+REMEMBERED, TOGETHER = 300_000, 2_000_000
 
 # A window is one word between spaces after a carrier that both dictionaries end with: the carrier
 # makes zstd emit a compressed block at any length, and is paid for equally on both sides.
@@ -38,7 +41,7 @@ _SEARCH = dict(
     window_log=17, chain_log=16, hash_log=15, search_log=5, min_match=3, target_length=32,
     strategy=zstandard.STRATEGY_BTOPT, write_content_size=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
 )
-_BINS = (16, 32, 16)
+_BINS = (16, 32, 18)
 
 
 @dataclass(frozen=True)
@@ -75,32 +78,43 @@ class Scorer:
         return np.array([len(out[i]) for i in range(len(windows))])
 
     def bins(self, words: list[str]) -> np.ndarray:
-        """Bin of each word: length against the toxic and the ordinary dictionary, and of the word."""
-        raw = [w.encode() for w in words]
-        windows = [_CARRIER + b" " + w + b" " for w in raw]
+        """Bin of each word: its window's length against the toxic and the ordinary dictionary, and its own."""
+        raw = [b" %b " % w.encode() for w in words]
+        windows = [_CARRIER + w for w in raw]
         costs = [self._lengths(c, windows) - e for c, e in zip(self.compressors, self.empty)]
         a, b, n = (np.clip(x, 0, top - 1) for x, top in zip((*costs, [len(w) for w in raw]), _BINS))
         return (a * _BINS[1] + b) * _BINS[2] + n
 
     def remember(self, words: set[str]) -> None:
+        """Score new words; many at once, since each call loads the dictionaries."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = [w for w in words if w not in self.known]
-        for start in range(0, len(new), 50_000):
-            part = new[start : start + 50_000]
+        for start in range(0, len(new), 20_000):
+            part = new[start : start + 20_000]
             self.known.update(zip(part, np.maximum(self.odds[self.bins(part)], 0).tolist()))
 
-    def feature(self, text: str | None) -> tuple[float, int]:
-        """Mean positive log odds of the words of the whole text, and their number."""
-        words = words_of(text)
-        if not words:
-            return 0.0, 0
-        self.remember(set(words))
-        return sum(map(self.known.__getitem__, words)) / len(words), len(words)
+    def features(self, texts: list[str | None]) -> np.ndarray:
+        """Per text the mean positive log odds over the words of the whole text, and their number."""
+        out = np.zeros((len(texts), 2))
+        start = 0
+        while start < len(texts):
+            # texts are taken together up to TOGETHER characters
+            end, size = start + 1, len(texts[start] or "")
+            while end < len(texts) and size < TOGETHER:
+                size += len(texts[end] or "")
+                end += 1
+            split = [words_of(t) for t in texts[start:end]]
+            if self.odds is not None:
+                self.remember({w for words in split for w in words})
+            for i, words in enumerate(split, start):
+                known = sum(map(self.known.__getitem__, words)) if self.odds is not None else 0.0
+                out[i] = known / max(1, len(words)), len(words)
+            start = end
+        return out
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        found = np.array([self.feature(t) for t in texts]).reshape(-1, 2)
-        return _sigmoid(_design(found) @ np.array(self.model.weights))
+        return _sigmoid(_design(self.features(texts)) @ np.array(self.model.weights))
 
 
 def words_of(text: str | None) -> list[str]:
@@ -130,17 +144,38 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, toxic, part: a bounded, repeatable sample of the labelled rows outside the held-out fold.
 
     Of each class the SAMPLE_PER_CLASS ids first in a hash order. The id list is bounded, so it is
-    joined by broadcast and no text is shuffled. part 0 to 9 splits the sample for the three fits.
+    joined by broadcast and the corpus is not shuffled. Of copies and near copies in the sample one
+    stays, or their words would pass for toxic ones. part 0 to 9 splits the sample for the three fits.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     one = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))  # repeated labels: toxic wins
     order = F.xxhash64("doc_id", F.lit(5))
-    picked = [one.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(SAMPLE_PER_CLASS) for c in (0, 1)]
+    picked = [one.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(n) for c, n in SAMPLE_PER_CLASS.items()]
     ids = stored(picked[0].unionByName(picked[1]), "sample-ids")
     texts = docs.select("doc_id", "text").where(F.octet_length("text") <= SAMPLE_BYTES)
+    found = stored(texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic"), "sample-texts")
+    found = found.mapInArrow(_with_least_hashes, "doc_id bigint, text string, toxic int, least0 bigint, least1 bigint")
+    for key in ("least0", "least1"):  # copies and near copies share at least one, as a rule
+        found = found.withColumn("copy", F.row_number().over(Window.partitionBy(key).orderBy("doc_id", "text"))).where("copy = 1")
+    found = found.select("doc_id", "text", "toxic")
     part = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(10))
-    found = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic", part.alias("part"))
-    return stored(found, "sample")
+    return stored(found.withColumn("part", part), "sample")
+
+
+def _with_least_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the least hash, under two seeds, of a text's runs of three words."""
+    for batch in batches:
+        least: tuple[list[int], list[int]] = ([], [])
+        for text in batch.column("text").to_pylist():
+            words = (text or "").lower().encode().split()
+            runs = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+            for seed, out in enumerate(least):
+                out.append(min(xxhash.xxh64_intdigest(r, seed) for r in runs) - 2**63)
+        ids, texts, toxic = batch.columns
+        yield pa.RecordBatch.from_arrays(
+            [ids.cast(pa.int64()), texts, toxic.cast(pa.int32()), *[pa.array(x, pa.int64()) for x in least]],
+            names=["doc_id", "text", "toxic", "least0", "least1"],
+        )
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -168,23 +203,39 @@ def _dictionaries(sample: DataFrame) -> tuple[bytes, bytes]:
     sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     words = sample.select("text", "toxic").mapInArrow(_distinct_words, "word string, toxic int")
     counts = words.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
-    ratio = (F.col("t") / max(1, sizes.get(1, 0))) / ((F.col("o") + 0.3) / max(1, sizes.get(0, 0)))
-    bad = counts.where((F.col("t") >= LEAST_DOCS) & (ratio >= LEAST_RATIO) & (F.length("word") > 2))
+    t, o, share = F.col("t"), F.col("o"), sizes.get(1, 0) / max(1, sum(sizes.values()))
+    ratio = (t / max(1, sizes.get(1, 0))) / ((o + 0.3) / max(1, sizes.get(0, 0)))
+    expected = (t + o) * share
+    evidence = t * F.ln(t / expected) + F.when(o > 0, o * F.ln(o / (t + o - expected))).otherwise(0)
+    bad = counts.where((t >= LEAST_DOCS) & (ratio >= LEAST_RATIO) & (evidence >= LEAST_EVIDENCE) & (F.length("word") > 2))
     bad = [r.word for r in bad.orderBy(F.desc("t"), "word").limit(WORDS[0]).collect()]
     plain = counts.where((F.col("o") >= LEAST_DOCS) & (ratio < 1)).orderBy(F.desc("o"), "word").limit(WORDS[1])
     return _trained(bad, DICTIONARY[0]), _trained([r.word for r in plain.collect()], DICTIONARY[1])
 
 
 def _trained(words: list[str], size: int) -> bytes:
-    """A zstd dictionary over lines of words in mixed order; the lines themselves where too few to train on."""
+    """A zstd dictionary trained on lines of the words, which are in falling order of weight.
+
+    Training keeps each run of letters once and may break words up; words that it lost are put
+    before it as far as the size allows. Too few lines to train on are the dictionary themselves.
+    """
     rng = np.random.default_rng(11)
+    raw = [w.encode() for w in words]
     lines = []
     for _ in range(4):
-        order = [words[i].encode() for i in rng.permutation(len(words))]
+        order = [raw[i] for i in rng.permutation(len(raw))]
         lines += [b" " + b" ".join(order[i : i + 12]) + b" " for i in range(0, len(order), 12)]
-    if sum(map(len, lines)) > 2 * size:
-        return zstandard.train_dictionary(size, lines, k=64, d=6).as_bytes()
-    return (b"".join(lines[: len(lines) // 4]) or b"  ")[-size:]
+    kept = b""
+    if sum(map(len, lines)) > size:
+        kept = zstandard.train_dictionary(size, lines, k=64, d=6).as_bytes()
+    room, lost = size - len(kept), []
+    for w in raw:
+        if b" %b " % w not in kept:
+            room -= len(w) + 1
+            if room < 1:
+                break
+            lost.append(w)
+    return b" " + b" ".join(lost[::-1]) + b" " + kept
 
 
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,12 +251,13 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _fit_odds(sample: DataFrame, model: Model) -> bytes:
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(model)
-        sums = np.zeros((2, int(np.prod(_BINS))))
+        held, sums = (Counter(), Counter()), np.zeros((2, int(np.prod(_BINS))))
         for frame in frames:
             for text, toxic in zip(frame["text"], frame["toxic"]):
-                words = words_of(text)
-                if words:
-                    np.add.at(sums[int(toxic)], scorer.bins(words), 1.0)
+                held[int(toxic)].update(words_of(text))
+        for kind, counts in enumerate(held):
+            if counts:
+                np.add.at(sums[kind], scorer.bins(list(counts)), list(counts.values()))
         toxic, place = np.nonzero(sums)
         yield pd.DataFrame({"toxic": toxic.astype(np.int32), "bin": place.astype(np.int32), "n": sums[toxic, place]})
 
@@ -221,7 +273,7 @@ def _fit_odds(sample: DataFrame, model: Model) -> bytes:
 def _features(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([_scorer(model).feature(t) for t in batch.column(0).to_pylist()], float).reshape(-1, 2)
+            found = _scorer(model).features(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found[:, 0]), pa.array(found[:, 1]), batch.column(1).cast(pa.int32())], names=["mean", "n", "toxic"]
             )
@@ -235,13 +287,20 @@ def _logistic(rows: np.ndarray, prior: float) -> tuple[float, ...]:
     weight = np.where(y == 1, prior / max(1, (y == 1).sum()), (1 - prior) / max(1, (y == 0).sum())) * len(y)
     w = np.zeros(x.shape[1])
     w[0] = math.log(prior / (1 - prior))
-    for _ in range(50):
+
+    def loss(v: np.ndarray) -> float:
+        return float(weight @ np.logaddexp(0, np.where(y == 1, -1, 1) * (x @ v)) + 0.25 * v[1:] @ v[1:])
+
+    ridge = np.r_[0.0, np.full(len(w) - 1, 0.5)]
+    for _ in range(100):
         p = _sigmoid(x @ w)
-        gradient = x.T @ (weight * (p - y)) + 0.05 * w
-        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(w))
-        step = np.linalg.solve(hessian, gradient)
-        w -= step
-        if np.abs(step).max() < 1e-9:
+        gradient = x.T @ (weight * (p - y)) + ridge * w
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-6)
+        step, size = np.linalg.solve(hessian, gradient), 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-7:
             break
     return tuple(w.tolist())
 
