@@ -18,7 +18,9 @@ WIDEST = 256
 #: Token ids in one matrix at most.
 CELLS = 1 << 20
 #: Pieces a worker remembers; characters taken at once; pieces taken at once from a longer text.
-REMEMBERED, CHUNK, SLICE = 300_000, 1 << 20, 200_000
+REMEMBERED, CHUNK, SLICE = 200_000, 1 << 20, 200_000
+#: Rows whose results are held at once.
+ROWS = 500
 _NONE = np.int32(2**31 - 1)
 
 
@@ -26,12 +28,8 @@ class Vocabulary:
     """Ranks of a token file: token bytes by id, and a hash table from a pair of ids to the merged id."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as lines:
-            pairs = [line.split() for line in lines if line.strip()]
-        self.ids = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.tokens = [b""] * (max(self.ids.values()) + 1)
-        for token, rank in self.ids.items():
-            self.tokens[rank] = token
+        self.tokens = _tokens(path)
+        self.ids = {token: rank for rank, token in enumerate(self.tokens) if token}
         self.of_byte = np.array([self.ids[bytes([b])] for b in range(256)], np.int32)
         left, right, merged = [], [], []
         for token, rank in self.ids.items():
@@ -197,7 +195,26 @@ class Vocabulary:
         return [b"".join(map(known.__getitem__, pieces)) for pieces in held]
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return _decode(self.tokens, ids)
+
+
+@lru_cache(maxsize=2)
+def _tokens(path: str) -> list[bytes]:
+    """Token bytes by id; b"" where an id has none."""
+    with open(path, "rb") as lines:
+        ranks = {int(rank): base64.b64decode(token) for token, rank in (line.split() for line in lines if line.strip())}
+    return [ranks.get(i, b"") for i in range(max(ranks) + 1)]
+
+
+def _decode(tokens: list[bytes], ids: bytes) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """ROWS rows at a time, so that results of a slice are sent before the next is made."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
 
 
 @lru_cache(maxsize=2)
@@ -220,7 +237,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, column: str = "text", into
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pieces = vocabulary(path), _compiled(pattern)
-        for batch in batches:
+        for batch in _slices(batches):
             ids = words.encode(batch.column(0).to_pylist(), pieces)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), *batch.columns[1:]], names=["_made", *batch.schema.names[1:]])
 
@@ -231,9 +248,9 @@ def decoded(df: DataFrame, path: str, column: str = "ids", into: str = "decoded"
     """``df`` with ``into``: the bytes that the packed ids of ``column`` stand for; null ids are empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(path)
-        for batch in batches:
-            texts = [words.decode(i) if i else b"" for i in batch.column(0).to_pylist()]
+        tokens = _tokens(path)
+        for batch in _slices(batches):
+            texts = [_decode(tokens, ids) if ids else b"" for ids in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), *batch.columns[1:]], names=["_made", *batch.schema.names[1:]])
 
     return _mapped(df, run, column, into)
