@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netpulse import domain
@@ -86,12 +86,9 @@ def alert_digest(alerts: DataFrame, as_of: Column | datetime | None = None, hour
     )
 
 
-def audit(tables: dict[str, DataFrame | None]) -> DataFrame:
+def audit(tables: dict[str, DataFrame | None], spark: SparkSession) -> DataFrame:
     """Row count per table, 0 where a table does not exist: ``(table_name, row_count)``."""
     present = {name: df for name, df in tables.items() if df is not None}
-    if not present:
-        raise ValueError("no table exists yet")
-    spark = next(iter(present.values())).sparkSession
     counted = [
         df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         for name, df in present.items()

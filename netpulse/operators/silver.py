@@ -35,11 +35,6 @@ def enrich(df: DataFrame) -> DataFrame:
     )
 
 
-def enrich_and_detect(df: DataFrame) -> DataFrame:
-    """Same as :func:`enrich`; kept under the name existing callers use."""
-    return enrich(df)
-
-
 def classify_severity(flat: DataFrame, column: str = "expected_severity") -> DataFrame:
     """Add the severity the emitting rules assign to each flattened event."""
     metrics = {name: F.col(name) for limits in domain.METRIC_LIMITS.values() for name in limits}

@@ -15,8 +15,6 @@ from netpulse.schemas import CONTRACTS, SILVER
 from netpulse.sources.tables import read_table, read_table_or_none
 
 ROLLUP = "device_rollup"
-# Beyond this many touched dates a full rebuild is the better plan, and gives the same tables.
-MAX_TOUCHED_DATES = 400
 
 Dates = Sequence[date | None]
 
@@ -25,15 +23,14 @@ def read_silver(spark: SparkSession, cfg: EngineConfig) -> DataFrame:
     return read_table(spark, cfg, cfg.silver, SILVER)
 
 
-def touched_dates(silver: DataFrame, since: datetime) -> list[date | None] | None:
-    """Event dates that got Silver rows at or after ``since``; None when there are too many to list.
+def touched_dates(silver: DataFrame, since: datetime) -> list[date | None]:
+    """Every event date that got Silver rows at or after ``since``: one entry per day, however many rows.
 
     Late events touch old dates, so this reads ``_silver_ts``, not the event time. Only that column
     and the partition value are read, and files written before ``since`` are skipped by statistics.
     """
     found = silver.filter(F.col("_silver_ts") >= F.lit(since)).select(DATE).distinct()
-    dates = [row[0] for row in found.limit(MAX_TOUCHED_DATES + 1).collect()]
-    return None if len(dates) > MAX_TOUCHED_DATES else dates
+    return [row[0] for row in found.collect()]
 
 
 def build_gold(spark: SparkSession, cfg: EngineConfig, dates: Dates | None = None) -> dict[str, DataFrame]:
@@ -67,7 +64,7 @@ def audit_gold(spark: SparkSession, cfg: EngineConfig) -> DataFrame:
     stored = {
         name: read_table_or_none(spark, cfg, cfg.gold(name), CONTRACTS[name].gold_schema) for name in gold.BUILDERS
     }
-    return quality.audit(stored)
+    return quality.audit(stored, spark)
 
 
 def load_serving(

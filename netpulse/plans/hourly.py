@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,12 +42,12 @@ def run_hourly(
     run); without it everything is rebuilt. A failed enforced check raises before Gold is touched.
     """
     prepare(spark)
+    as_of = as_of or datetime.now(timezone.utc)  # one moment for every gate, however long the run takes
     bronze = read_table_or_none(spark, cfg, cfg.bronze, BRONZE)
     if bronze is None or not quality.has_recent_records(bronze, as_of):
         return HourlyReport("skipped")
 
-    catch_up = cfg.but(available_now=True)
-    layers.drain(*layers.start_enriched(spark, catch_up))
+    layers.catch_up(spark, cfg)
 
     silver = build.read_silver(spark, cfg)
     dates = build.touched_dates(silver, since) if since is not None else None

@@ -6,7 +6,7 @@ Each query owns its checkpoint. All transformations are the batch functions of
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,10 @@ BRONZE_PARTITIONS = ("_batch_date", "event_type")
 SILVER_PARTITIONS = ("event_date", "severity")
 
 
+#: The last query that this process started on each checkpoint.
+_LIVE: dict[str, StreamingQuery] = {}
+
+
 def start_bronze(spark: SparkSession, cfg: EngineConfig, records: DataFrame | None = None) -> StreamingQuery:
     """Records to Bronze. ``cfg.quarantine`` keeps unreadable records out (see :func:`start_rejects`)."""
     source = stream_records(prepare(spark), cfg) if records is None else records
@@ -74,20 +78,39 @@ def start_silver_and_alerts(spark: SparkSession, cfg: EngineConfig) -> Streaming
         finally:
             rows.unpersist()
 
-    return (
-        enriched(bronze)
-        .writeStream.option("checkpointLocation", cfg.checkpoint("silver_and_alerts"))
-        .trigger(**cfg.trigger(cfg.alerts_every))
-        .foreachBatch(write)
-        .start()
-    )
+    checkpoint = cfg.checkpoint("silver_and_alerts")
+    writer = enriched(bronze).writeStream.option("checkpointLocation", checkpoint)
+    _LIVE[checkpoint] = writer.trigger(**cfg.trigger(cfg.alerts_every)).foreachBatch(write).start()
+    return _LIVE[checkpoint]
 
 
 def start_enriched(spark: SparkSession, cfg: EngineConfig) -> list[StreamingQuery]:
     """Silver and Alerts in the way ``cfg.fan_out`` names."""
+    return [start(spark, cfg) for start in _enriched_starts(cfg).values()]
+
+
+def catch_up(spark: SparkSession, cfg: EngineConfig) -> None:
+    """Bring Silver and Alerts up to what Bronze holds now, and leave running streams running.
+
+    A layer with a live query of this process is waited for; starting another query on its checkpoint
+    would stop it. The other layers are brought up by a query that ends by itself. A stream of another
+    session holds its checkpoint, and Spark then refuses the second writer.
+    """
+    started = []
+    for name, start in _enriched_starts(cfg).items():
+        live = _LIVE.get(cfg.checkpoint(name))
+        if live is not None and live.isActive:
+            live.processAllAvailable()
+        else:
+            started.append(start(spark, cfg.but(available_now=True)))
+    drain(*started)
+
+
+def _enriched_starts(cfg: EngineConfig) -> dict[str, Callable[[SparkSession, EngineConfig], StreamingQuery]]:
+    """Start functions by checkpoint name."""
     if cfg.fan_out == "single_scan":
-        return [start_silver_and_alerts(spark, cfg)]
-    return [start_silver(spark, cfg), start_alerts(spark, cfg)]
+        return {"silver_and_alerts": start_silver_and_alerts}
+    return {"silver": start_silver, "alerts": start_alerts}
 
 
 def append_stream(
@@ -103,19 +126,20 @@ def append_stream(
         df.writeStream.format(cfg.table_format)
         .outputMode("append")
         .option("checkpointLocation", cfg.checkpoint(name))
-        .option("mergeSchema", "true")
         .options(**cfg.sink_options)
         .trigger(**cfg.trigger(every))
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return writer.start(path)
+    _LIVE[cfg.checkpoint(name)] = writer.start(path)
+    return _LIVE[cfg.checkpoint(name)]
 
 
 def drain(*queries: StreamingQuery) -> None:
-    """Wait for ``available_now`` queries to finish; a failure of any is raised."""
-    for query in queries:
-        query.awaitTermination()
+    """Wait for ``available_now`` queries to finish; a failure of any is raised as soon as it happens."""
+    waiting = list(queries)
+    while waiting:
+        waiting = [query for query in waiting if not query.awaitTermination(1)]
 
 
 def _replace_batch(df: DataFrame, cfg: EngineConfig, path: str, partition_by: Sequence[str]) -> None:
