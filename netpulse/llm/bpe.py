@@ -13,14 +13,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from netpulse.llm.common import slices
+
 #: Longer pieces are encoded one by one, all places of a rank in one round.
 WIDEST = 256
 #: Token ids in one matrix at most.
 CELLS = 1 << 20
 #: Pieces a worker remembers; characters taken at once; pieces taken at once from a longer text.
-REMEMBERED, CHUNK, SLICE = 200_000, 1 << 20, 200_000
-#: Rows whose results are held at once.
-ROWS = 500
+REMEMBERED, CHUNK, SLICE = 100_000, 1 << 20, 200_000
 _NONE = np.int32(2**31 - 1)
 
 
@@ -210,13 +210,6 @@ def _decode(tokens: list[bytes], ids: bytes) -> bytes:
     return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """ROWS rows at a time, so that results of a slice are sent before the next is made."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, ROWS):
-            yield batch.slice(start, ROWS)
-
-
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
@@ -237,7 +230,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, column: str = "text", into
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pieces = vocabulary(path), _compiled(pattern)
-        for batch in _slices(batches):
+        for batch in slices(batches):
             ids = words.encode(batch.column(0).to_pylist(), pieces)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), *batch.columns[1:]], names=["_made", *batch.schema.names[1:]])
 
@@ -249,7 +242,7 @@ def decoded(df: DataFrame, path: str, column: str = "ids", into: str = "decoded"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens(path)
-        for batch in _slices(batches):
+        for batch in slices(batches):
             texts = [_decode(tokens, ids) if ids else b"" for ids in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), *batch.columns[1:]], names=["_made", *batch.schema.names[1:]])
 

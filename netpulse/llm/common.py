@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so that a worker holds Python objects and results of a slice only.
+
+    Workers outlive their task; buffers that the last batch left behind go back at its end.
+    """
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def word_count(text: Column) -> Column:
     """Number of words as bigint; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from netpulse.llm.common import slices
+
 #: Lines in a sliding window, and the text in one that makes a surge.
 WINDOW, SURGE = 3, 80
 
@@ -159,7 +161,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [main_text(p) for p in batch.column(2).to_pylist()]
             sizes = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netpulse.llm.common import connected_components, stored, with_row_key
+from netpulse.llm.common import connected_components, slices, stored, with_row_key
 
 #: Words in a shingle, and differing bits up to which fingerprints link.
 SHINGLE, RADIUS = 3, 2
@@ -79,7 +79,7 @@ def simhashes(texts: list[bytes | None]) -> np.ndarray:
 
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found = simhashes(batch.column("text").to_pylist()).view(np.int64)
         columns = [c for name, c in zip(batch.schema.names, batch.columns) if name != "text"]
         names = [name for name in batch.schema.names if name != "text"]

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netpulse.llm.common import stored, with_row_key
+from netpulse.llm.common import slices, stored, with_row_key
 
 #: Bytes that the rolling hash sees, and one cut in so many places where a word starts.
 SPAN, CUT_ONE_IN = 16, 4
@@ -62,7 +62,7 @@ def cut_points(data: bytes) -> np.ndarray:
 def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_64_intdigest
     names = ["_key_id", "_key_text", "start", "size", "words", "digest"]
-    for batch in batches:
+    for batch in slices(batches):
         keys = [batch.column(i).to_numpy() for i in (0, 1)]
         held: list[list] = [[], [], [], [], [], []]
         rows = 0
@@ -78,7 +78,7 @@ def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             for held_one, column in zip(held, columns):
                 held_one.append(column)
             rows += len(made)
-            if rows > 100_000:
+            if rows > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in held], names=names)
                 held, rows = [[], [], [], [], [], []], 0
         if rows:
@@ -144,7 +144,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, runs, removed = batch.column(0).to_pylist(), [], []
             lists = [batch.column(i).to_pylist() for i in (1, 2, 3)]
             for i, text in enumerate(texts):

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from netpulse.llm.common import stored
+from netpulse.llm.common import slices, stored
 
 #: The classifier is fitted on at most this many labelled documents of each class, of this many bytes each.
 SAMPLE_PER_CLASS, SAMPLE_BYTES = {1: 6000, 0: 12_000}, 20_000
@@ -31,7 +31,7 @@ THRESHOLD = 0.3
 #: Rows of the toxicity training fold: crc32(doc_id as text) mod FOLDS is not HELD_OUT.
 FOLDS, HELD_OUT = 4, 2
 #: Words a worker remembers, and characters of text whose words are looked up together.
-REMEMBERED, TOGETHER = 300_000, 2_000_000
+REMEMBERED, TOGETHER = 100_000, 2_000_000
 
 # A window is one word between spaces after a carrier that both dictionaries end with: the carrier
 # makes zstd emit a compressed block at any length, and is paid for equally on both sides.
@@ -314,7 +314,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             values = _scorer(model).score(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(values), *batch.columns[1:]], names=["_score", *batch.schema.names[1:]])
 
