@@ -227,31 +227,51 @@ def encoded(docs: DataFrame, path: str, pattern: str, column: str = "text", into
     every executor can open. A null text is empty and has no ids. Rows are independent; other columns
     pass through, except one already named ``into``, which is replaced.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pieces = vocabulary(path), _compiled(pattern)
-        for batch in slices(batches):
-            ids = words.encode(batch.column(0).to_pylist(), pieces)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), *batch.columns[1:]], names=["_made", *batch.schema.names[1:]])
-
-    return _mapped(docs, run, column, into)
+    return _mapped(docs, lambda: [_encoder(path, pattern)], column, [into])
 
 
 def decoded(df: DataFrame, path: str, column: str = "ids", into: str = "decoded") -> DataFrame:
     """``df`` with ``into``: the bytes that the packed ids of ``column`` stand for; null ids are empty."""
+    return _mapped(df, lambda: [_decoder(path)], column, [into])
+
+
+def encoded_and_decoded(
+    docs: DataFrame, path: str, pattern: str, column: str = "text", into: str = "ids", back: str = "decoded"
+) -> DataFrame:
+    """``docs`` with the ids of :func:`encoded` and what :func:`decoded` makes of those ids.
+
+    Both happen in one Python worker per task, so that an executor holds one vocabulary per core and
+    texts and ids cross to Python and back once.
+    """
+    return _mapped(docs, lambda: [_encoder(path, pattern), _decoder(path)], column, [into, back])
+
+
+def _encoder(path: str, pattern: str):
+    words, pieces = vocabulary(path), _compiled(pattern)
+    return lambda texts: words.encode(texts, pieces)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _tokens(path)
-        for batch in slices(batches):
-            texts = [_decode(tokens, ids) if ids else b"" for ids in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), *batch.columns[1:]], names=["_made", *batch.schema.names[1:]])
 
-    return _mapped(df, run, column, into)
+def _decoder(path: str):
+    tokens = _tokens(path)
+    return lambda packed: [_decode(tokens, ids) if ids else b"" for ids in packed]
 
 
-def _mapped(df: DataFrame, run, column: str, into: str) -> DataFrame:
-    kept = [name for name in df.columns if name != into]
+def _mapped(df: DataFrame, steps, column: str, into: list[str]) -> DataFrame:
+    """``df`` with one binary column per step; each step takes the values that the one before it made."""
+    kept = [name for name in df.columns if name not in into]
     source = df.select(F.col(column).alias("_in"), *[F.col(name).alias(f"_c{i}") for i, name in enumerate(kept)])
-    fields = ["_made binary", *[f"_c{i} {df.schema[name].dataType.simpleString()}" for i, name in enumerate(kept)]]
+    made = [f"_made{i}" for i in range(len(into))]
+    fields = [*[f"{m} binary" for m in made], *[f"_c{i} {df.schema[name].dataType.simpleString()}" for i, name in enumerate(kept)]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = steps()
+        for batch in slices(batches):
+            values, columns = batch.column(0).to_pylist(), []
+            for step in ready:
+                values = step(values)
+                columns.append(pa.array(values, pa.binary()))
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[1:]], names=[*made, *batch.schema.names[1:]])
+
     out = source.mapInArrow(run, ", ".join(fields))
-    return out.select(*[F.col(f"_c{i}").alias(name) for i, name in enumerate(kept)], F.col("_made").alias(into))
+    back = [F.col(m).alias(name) for m, name in zip(made, into)]
+    return out.select(*[F.col(f"_c{i}").alias(name) for i, name in enumerate(kept)], *back)

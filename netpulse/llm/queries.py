@@ -51,8 +51,8 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    encoded = bpe.encoded(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    both = bpe.decoded(encoded.drop("text"), path)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.encoded_and_decoded(docs, path, public_tokenizers.PATTERN)
     return both.select(
         "doc_id", F.expr("cast(octet_length(ids) / 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),

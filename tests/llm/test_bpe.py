@@ -56,9 +56,10 @@ def test_small_limits_change_nothing(reference, tables, monkeypatch):
 
 
 def test_odd_rows(odd, reference):
-    both = bpe.decoded(bpe.encoded(odd, PATH, public_tokenizers.PATTERN), PATH)
-    assert sorted(both.columns) == sorted([*odd.columns, "decoded"])
-    for r in both.collect():
-        assert bytes(r.ids) == packed(reference.encode_ordinary(r.text or ""))
-        assert bytes(r.decoded) == (r.text or "").encode()
+    apart = bpe.decoded(bpe.encoded(odd, PATH, public_tokenizers.PATTERN), PATH)
+    for both in (apart, bpe.encoded_and_decoded(odd, PATH, public_tokenizers.PATTERN)):
+        assert sorted(both.columns) == sorted([*odd.columns, "decoded"])
+        for r in both.collect():
+            assert bytes(r.ids) == packed(reference.encode_ordinary(r.text or ""))
+            assert bytes(r.decoded) == (r.text or "").encode()
     assert bpe.encoded(odd.limit(0), PATH, public_tokenizers.PATTERN).collect() == []
