@@ -18,6 +18,8 @@ class EngineConfig:
     ``record_source`` is ``kafka`` (needs the connector package on the class path) or ``files``
     (a folder of Parquet files with the Kafka record layout). ``table_format`` is any Spark file
     format or table connector; ``parquet`` needs nothing beyond Spark, ``delta`` its package.
+    ``min_partitions`` has Kafka's few topic partitions read as so many offset ranges at least, so that
+    neither their number nor a chatty device bounds the tasks of a batch.
     ``fan_out`` says how Silver and Alerts follow Bronze; one deployment keeps to one way, because a
     file table written by a stream lists its files in the stream's own log.
     """
@@ -31,6 +33,7 @@ class EngineConfig:
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False
     max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
     max_files_per_trigger: int | None = None
     table_format: str = "parquet"
     bronze_every: str = "30 seconds"

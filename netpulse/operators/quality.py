@@ -50,11 +50,26 @@ def enforce(checks: DataFrame, names: tuple[str, ...] = ENFORCED) -> dict[str, i
     return counts
 
 
+def _start(as_of: Column | datetime | None, hours: float) -> Column:
+    return _moment(as_of) - F.expr(f"INTERVAL '{int(timedelta(hours=hours).total_seconds())}' SECOND")
+
+
 def within(column: str, as_of: Column | datetime | None, hours: float = 1) -> Column:
     """``column`` lies in the ``hours`` up to and including ``as_of``."""
-    end = _moment(as_of)
-    start = end - F.expr(f"INTERVAL '{int(timedelta(hours=hours).total_seconds())}' SECOND")
-    return (F.col(column) > start) & (F.col(column) <= end)
+    return (F.col(column) > _start(as_of, hours)) & (F.col(column) <= _moment(as_of))
+
+
+def dated_within(as_of: Column | datetime | None, hours: float = 1) -> Column:
+    """Silver's partitions that can hold events of the ``hours`` up to ``as_of``."""
+    return F.col("event_date").between(F.to_date(_start(as_of, hours)), F.to_date(_moment(as_of)))
+
+
+def ingested_since(as_of: Column | datetime | None, hours: float = 1, slack_days: int = 1) -> Column:
+    """Bronze's partitions that can hold records which the topic received in the ``hours`` up to ``as_of``.
+
+    A record is ingested after the topic received it; ``slack_days`` allows for clocks that disagree.
+    """
+    return F.col("_batch_date") >= F.date_sub(F.to_date(_start(as_of, hours)), slack_days)
 
 
 def recent_records(bronze: DataFrame, as_of: Column | datetime | None = None, hours: float = 1) -> DataFrame:

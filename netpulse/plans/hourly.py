@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from netpulse.config import EngineConfig
 from netpulse.operators import quality
+from netpulse.operators.silver import select_alerts
 from netpulse.plans import build
 from netpulse.plans.writing import on_dates
-from netpulse.schemas import ALERTS, BRONZE
+from netpulse.schemas import BRONZE
 from netpulse.session import prepare
 from netpulse.sources.tables import read_table_or_none
 from netpulse.streaming import layers
@@ -32,6 +33,15 @@ class HourlyReport:
         return self.critical_alerts > 0
 
 
+def recent_alerts(silver: DataFrame, cfg: EngineConfig, as_of: datetime) -> DataFrame:
+    """Alerts of the dates around the last hour.
+
+    They are selected from Silver, whose partitions by date bound the scan; the Alerts table is not
+    partitioned, and a look at its last hour would open its whole history.
+    """
+    return select_alerts(silver.filter(quality.dated_within(as_of)), cfg.alert_tier)
+
+
 def run_hourly(
     spark: SparkSession, cfg: EngineConfig, as_of: datetime | None = None, since: datetime | None = None
 ) -> HourlyReport:
@@ -44,7 +54,7 @@ def run_hourly(
     prepare(spark)
     as_of = as_of or datetime.now(timezone.utc)  # one moment for every gate, however long the run takes
     bronze = read_table_or_none(spark, cfg, cfg.bronze, BRONZE)
-    if bronze is None or not quality.has_recent_records(bronze, as_of):
+    if bronze is None or not quality.has_recent_records(bronze.filter(quality.ingested_since(as_of)), as_of):
         return HourlyReport("skipped")
 
     layers.catch_up(spark, cfg)
@@ -57,8 +67,6 @@ def run_hourly(
     build.build_gold(spark, cfg, dates)
     build.load_serving(spark, cfg, dates)
 
-    alerts = read_table_or_none(spark, cfg, cfg.alerts, ALERTS)
-    if alerts is None:
-        return HourlyReport("completed", dq, dates)
+    alerts = recent_alerts(silver, cfg, as_of)
     critical = quality.recent_critical(alerts, as_of).first()["critical_alerts"]
     return HourlyReport("completed", dq, dates, critical, quality.alert_digest(alerts, as_of))

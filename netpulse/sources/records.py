@@ -11,11 +11,14 @@ from netpulse.schemas import ENVELOPE_FIELDS, KAFKA_RECORD
 
 
 def _kafka_options(cfg: EngineConfig) -> dict[str, str]:
-    return {
+    options = {
         "kafka.bootstrap.servers": cfg.bootstrap_servers,
         "subscribe": cfg.topic,
         "failOnDataLoss": str(cfg.fail_on_data_loss).lower(),
     }
+    if cfg.min_partitions:
+        options["minPartitions"] = str(cfg.min_partitions)
+    return options
 
 
 def stream_records(spark: SparkSession, cfg: EngineConfig) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 
 from netpulse import EngineConfig, prepare
 from netpulse.session import fresh_folder, shared_root
+from netpulse.sources.records import _kafka_options
 
 
 def test_detect_switches_between_mount_and_local(spark, tmp_path):
@@ -51,3 +52,9 @@ def test_prepare_sets_zone_and_method_limit_but_keeps_a_chosen_limit(spark):
     assert prepare(spark).conf.get(key) == "7000"
     spark.conf.unset(key)
     assert prepare(spark).conf.get(key) == "5000"
+
+
+def test_kafka_partitions_can_be_split():
+    cfg = EngineConfig.under("/shared", min_partitions=64)
+    assert _kafka_options(cfg)["minPartitions"] == "64"
+    assert "minPartitions" not in _kafka_options(cfg.but(min_partitions=None))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 import re
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from conftest import SF_DIR
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from netpulse.operators import gold
 from netpulse.operators import silver as S
 from netpulse.operators import views as V
-from netpulse.plans import build
+from netpulse.operators import quality
+from netpulse.plans import build, hourly
 from netpulse.plans.writing import on_dates
 from verification import registry
 
@@ -81,6 +82,21 @@ def test_severity_is_a_partition_filter(stored):
     assert re.search(r"PartitionFilters: \[[^\]]*severity", plan)
 
 
+def test_gates_of_the_last_hour_read_only_its_partitions(spark, stored, tmp_path):
+    silver, cfg = stored
+    noon = datetime(2024, 1, 3, 12)
+    recent = quality.recent_critical(hourly.recent_alerts(silver, cfg, noon), noon)
+    plan = plan_of(recent)
+    assert re.search(r"PartitionFilters: \[[^\]]*event_date", plan) and re.search(r"PartitionFilters: \[[^\]]*severity", plan)
+    assert recent.collect() == quality.recent_critical(S.select_alerts(silver, cfg.alert_tier), noon).collect()
+    path = str(tmp_path / "bronze")
+    registry.bronze(spark, SF_DIR).write.partitionBy("_batch_date", "event_type").parquet(path)
+    bronze = spark.read.parquet(path)
+    gated = bronze.filter(quality.ingested_since(noon) & quality.within("kafka_timestamp", noon))
+    assert re.search(r"PartitionFilters: \[[^\]]*_batch_date", plan_of(gated))
+    assert gated.count() == bronze.filter(quality.within("kafka_timestamp", noon)).count()
+
+
 def test_top_n_is_bounded_per_task(stored):
     assert "TakeOrderedAndProject" in plan_of(S.critical_sample(stored[0]))
     reliability = gold.network_reliability(stored[0])
