@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,6 +27,8 @@ LEAST_DOCS, LEAST_RATIO, LEAST_EVIDENCE = 3, 8.0, 7.0
 #: Words that the dictionaries are trained on at most, and the dictionaries' bytes: toxic, ordinary.
 WORDS = (20_000, 60_000)
 DICTIONARY = (16_384, 100_000)
+#: A window counts from so many nats of log odds; below, it is the noise of rare lengths.
+LEAST_ODDS = 1.5
 #: Score from which a document is rejected.
 THRESHOLD = 0.3
 #: Rows of the toxicity training fold: crc32(doc_id as text) mod FOLDS is not HELD_OUT.
@@ -37,6 +40,7 @@ REMEMBERED, TOGETHER = 100_000, 2_000_000
 # makes zstd emit a compressed block at any length, and is paid for equally on both sides.
 _CARRIER = bytes(range(128, 192))
 _EDGES = ".,;:!?\"'()[]"
+_LETTER = re.compile(r"[^\W\d_]")
 _SEARCH = dict(
     window_log=17, chain_log=16, hash_log=15, search_log=5, min_match=3, target_length=32,
     strategy=zstandard.STRATEGY_BTOPT, write_content_size=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
@@ -92,10 +96,11 @@ class Scorer:
         new = [w for w in words if w not in self.known]
         for start in range(0, len(new), 20_000):
             part = new[start : start + 20_000]
-            self.known.update(zip(part, np.maximum(self.odds[self.bins(part)], 0).tolist()))
+            found = self.odds[self.bins(part)]
+            self.known.update(zip(part, np.where(found >= LEAST_ODDS, found, 0).tolist()))
 
     def features(self, texts: list[str | None]) -> np.ndarray:
-        """Per text the mean positive log odds over the words of the whole text, and their number."""
+        """Per text the mean log odds, where they count, over the words of the whole text, and their number."""
         out = np.zeros((len(texts), 2))
         start = 0
         while start < len(texts):
@@ -118,7 +123,9 @@ class Scorer:
 
 
 def words_of(text: str | None) -> list[str]:
-    return [w for w in (x.strip(_EDGES) for x in (text or "").lower().split()) if w]
+    """Words with a letter and at least three bytes: the length of a shorter window tells nothing."""
+    stripped = (x.strip(_EDGES) for x in (text or "").lower().split())
+    return [w for w in stripped if _LETTER.search(w) and (len(w) > 2 or len(w.encode()) > 2)]
 
 
 def _design(found: np.ndarray) -> np.ndarray:
