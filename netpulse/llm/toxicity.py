@@ -74,7 +74,8 @@ class Scorer:
         ]
         self.empty = [self._lengths(c, [_CARRIER])[0] for c in self.compressors]
         self.odds = np.frombuffer(model.odds, "<f4") if model.odds else None
-        self.known: dict[str, float] = {}
+        #: Log odds of a word, where they count; None for a word that tells nothing.
+        self.known: dict[str, float | None] = {}
 
     @staticmethod
     def _lengths(compressor, windows: list[bytes]) -> np.ndarray:
@@ -94,9 +95,11 @@ class Scorer:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = [w for w in words if w not in self.known]
+        self.known.update((w, None) for w in new if not _tells(w))
+        new = [w for w in new if w not in self.known]
         for start in range(0, len(new), 20_000):
             part = new[start : start + 20_000]
-            found = self.odds[self.bins(part)]
+            found = self.odds[self.bins(part)] if self.odds is not None else np.zeros(len(part))
             self.known.update(zip(part, np.where(found >= LEAST_ODDS, found, 0).tolist()))
 
     def features(self, texts: list[str | None]) -> np.ndarray:
@@ -109,12 +112,12 @@ class Scorer:
             while end < len(texts) and size < TOGETHER:
                 size += len(texts[end] or "")
                 end += 1
-            split = [words_of(t) for t in texts[start:end]]
-            if self.odds is not None:
-                self.remember({w for words in split for w in words})
+            split = [_split(t) for t in texts[start:end]]
+            self.remember(set().union(*split))
             for i, words in enumerate(split, start):
-                known = sum(map(self.known.__getitem__, words)) if self.odds is not None else 0.0
-                out[i] = known / max(1, len(words)), len(words)
+                values = list(map(self.known.__getitem__, words))
+                n = len(values) - values.count(None)
+                out[i] = sum(filter(None, values)) / max(1, n), n
             start = end
         return out
 
@@ -123,9 +126,16 @@ class Scorer:
 
 
 def words_of(text: str | None) -> list[str]:
-    """Words with a letter and at least three bytes: the length of a shorter window tells nothing."""
-    stripped = (x.strip(_EDGES) for x in (text or "").lower().split())
-    return [w for w in stripped if _LETTER.search(w) and (len(w) > 2 or len(w.encode()) > 2)]
+    return [w for w in _split(text) if _tells(w)]
+
+
+def _split(text: str | None) -> list[str]:
+    return [x.strip(_EDGES) for x in (text or "").lower().split()]
+
+
+def _tells(word: str) -> bool:
+    """A letter and at least three bytes: the length of a shorter window tells nothing."""
+    return len(word.encode()) > 2 and _LETTER.search(word) is not None
 
 
 def _design(found: np.ndarray) -> np.ndarray:
