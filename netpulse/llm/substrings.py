@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +60,13 @@ def cut_points(data: bytes) -> np.ndarray:
     return cuts
 
 
-def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _passage_ends(cuts: np.ndarray, begun: np.ndarray) -> np.ndarray:
+    """For each chunk the place in ``cuts`` up to which chunks from it on are long enough; past the end if none is."""
+    by_words = np.searchsorted(begun, begun[:-1] + LEAST_WORDS)
+    return np.minimum(by_words, np.searchsorted(cuts, cuts[:-1] + LEAST_BYTES))
+
+
+def _chunk_batches(batches: Iterator[pa.RecordBatch], passages: bool = False) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_64_intdigest
     names = ["_key_id", "_key_text", "start", "size", "words", "digest"]
     for batch in slices(batches):
@@ -72,9 +79,13 @@ def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             cuts = cut_points(data)
             raw = _SPACE[np.frombuffer(data, np.uint8)]
             begins = np.r_[0, np.cumsum(~raw & np.r_[True, raw[:-1]])]
-            made = np.fromiter((digest(data[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())), np.uint64, len(cuts) - 1)
-            columns = (np.full(len(made), keys[0][i]), np.full(len(made), keys[1][i]), cuts[:-1].astype(np.int32),
-                       np.diff(cuts).astype(np.int32), np.diff(begins[cuts]).astype(np.int32), made.view(np.int64))
+            first = np.arange(len(cuts) - 1)
+            end = _passage_ends(cuts, begins[cuts]) if passages else first + 1
+            first, end = first[end < len(cuts)], end[end < len(cuts)]
+            a, b = cuts[first], cuts[end]
+            made = np.fromiter((digest(data[x:y]) for x, y in zip(a.tolist(), b.tolist())), np.uint64, len(a))
+            columns = (np.full(len(made), keys[0][i]), np.full(len(made), keys[1][i]), a.astype(np.int32),
+                       (b - a).astype(np.int32), (begins[b] - begins[a]).astype(np.int32), made.view(np.int64))
             for held_one, column in zip(held, columns):
                 held_one.append(column)
             rows += len(made)
@@ -85,22 +96,25 @@ def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in held], names=names)
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """_key_id, _key_text, start, size, words, digest: every chunk of every text, offsets in UTF-8 bytes."""
+def chunks(docs: DataFrame, passages: bool = False) -> DataFrame:
+    """_key_id, _key_text, start, size, words, digest: every chunk of every text, offsets in UTF-8 bytes.
+
+    With ``passages``, from every chunk on the chunks that make LEAST_WORDS words or LEAST_BYTES bytes.
+    """
     source = with_row_key(docs.select("doc_id", "text")).select("_key_id", "_key_text", F.col("text").cast("binary"))
     return source.mapInArrow(
-        _chunk_batches, "_key_id bigint, _key_text bigint, start int, size int, words int, digest bigint"
+        partial(_chunk_batches, passages=passages), "_key_id bigint, _key_text bigint, start int, size int, words int, digest bigint"
     )
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
+def repeated_chunks(docs: DataFrame, passages: bool = False) -> DataFrame:
     """_key_id, _key_text, spans: per document its chunks that a document before it has too, in order.
 
     The digest of a chunk is counted where it arises, so a passage in a large share of the documents
     reaches the shuffle once per task. Only digests that several documents have are stored; the join
     reads them from there, and Spark splits a digest that many chunks have.
     """
-    made = chunks(docs)
+    made = chunks(docs, passages)
     seen = made.groupBy("digest").agg(F.min("_key_id").alias("first"), F.max("_key_id").alias("last"))
     shared = stored(seen.where(F.col("first") < F.col("last")).select(F.col("digest").alias("_digest"), "first"), "shared")
     later = made.join(shared, (F.col("digest") == F.col("_digest")) & (F.col("_key_id") > F.col("first")))
@@ -109,12 +123,12 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 
 def _cut(text: bytes, starts: list[int], sizes: list[int], words: list[int]) -> tuple[bytes, int, int]:
-    """Remove runs of adjoining spans that are long enough: what is left, runs, bytes removed."""
+    """Remove runs of adjoining or overlapping spans that are long enough: what is left, runs, bytes removed."""
     left, at, removed, runs, i = [], 0, 0, 0, 0
     while i < len(starts):
         j, end, count = i, starts[i], 0
-        while j < len(starts) and starts[j] == end:
-            end, count, j = end + sizes[j], count + words[j], j + 1
+        while j < len(starts) and starts[j] <= end:
+            end, count, j = max(end, starts[j] + sizes[j]), count + words[j], j + 1
         if count >= LEAST_WORDS or end - starts[i] >= LEAST_BYTES:
             left.append(text[at : starts[i]])
             removed, runs, at = removed + end - starts[i], runs + 1, end
@@ -123,7 +137,7 @@ def _cut(text: bytes, starts: list[int], sizes: list[int], words: list[int]) ->
     return b"".join(left), runs, removed
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, passages: bool = False) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``, and ``_runs``, ``_removed`` (bytes).
 
     A passage stays in the document with the smallest doc_id that has it (null ids are greatest) and
@@ -131,9 +145,12 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     repeated passage, the ends up to the nearest cut may stay. Repeats inside one document and rows
     that share its doc_id stay. Null and empty texts stay as they are; a text that is repeated as a
     whole becomes empty, no row goes. Each text is shuffled once, to meet its spans.
+
+    The chunks of a run may come from several documents, or stand apart there. With ``passages``, only
+    chunks that follow each other for LEAST_WORDS words or LEAST_BYTES bytes in an earlier document go.
     """
     names = docs.columns
-    spans = repeated_chunks(docs).withColumnsRenamed(
+    spans = repeated_chunks(docs, passages).withColumnsRenamed(
         {"_key_id": "_span_id", "_key_text": "_span_text", "spans": "_spans"}
     )
     keyed = with_row_key(docs).join(spans, F.expr("_key_id = _span_id AND _key_text = _span_text"), "left")

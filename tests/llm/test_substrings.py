@@ -109,3 +109,32 @@ def test_long_copies_and_no_rows(spark):
     found = {r.doc_id: r.text for r in substrings.deduplicated(df).collect()}
     assert found == {1: long, 2: "", None: "", 3: None}
     assert substrings.deduplicated(df.limit(0)).collect() == []
+
+
+def test_passages_stand_in_one_earlier_document(spark):
+    rng = random.Random(21)
+    passage = words(rng, 120)
+    parts = [words(rng, 60) for _ in range(6)]
+    cuts = [substrings.cut_points((p + " ").encode()) for p in parts]
+    pieces = [(p + " ").encode()[c[3] : c[4]].decode() for p, c in zip(parts, cuts)]
+    patched = "".join(piece * 8 for piece in pieces)
+    rows = [(i, p) for i, p in enumerate(parts)]
+    rows += [(10, "pas " * 3), (11, "pas " * 200), (12, patched), (13, passage), (14, f"{words(rng, 30)} {passage} {words(rng, 30)}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in substrings.deduplicated(df, passages=True).collect()}
+    assert all(found[i].text == text for i, text in rows if i < 14)
+    assert found[14]._runs == 1 and 0.8 * len(passage) < found[14]._removed <= len(passage) + 1
+
+
+def test_pipeline_cuts_only_what_an_earlier_document_has(spark, tables):
+    import corpus_pipeline
+
+    docs = tables("documents").where("text IS NOT NULL")
+    left = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+    before: set[tuple] = set()
+    for r in docs.orderBy("doc_id").collect():
+        split = r.text.split()
+        runs = {tuple(split[i : i + 15]) for i in range(len(split) - 14)}
+        if not runs & before:
+            assert left[r.doc_id] == r.text
+        before |= runs
