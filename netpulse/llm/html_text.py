@@ -14,6 +14,8 @@ from netpulse.llm.common import slices
 
 #: Lines in a sliding window, and the text in one that makes a surge.
 WINDOW, SURGE = 3, 80
+#: Text in a window that keeps a marked element, and the share of it in links up to which it does.
+LONG, LINKED = 400, 0.25
 
 # Element names of HTML by role.
 DROPPED = frozenset(
@@ -35,6 +37,12 @@ MARKED = frozenset(
     "comment comments commentlist respond reply replies disqus discussion share sharing social related recommended "
     "recommendations widget widgets search skip complementary contentinfo".split()
 )
+# Of these, words that mark what is no article however long it is, and words that take a mark back.
+SURE = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr comment comments "
+    "commentlist respond reply replies disqus".split()
+)
+UNMARKING = frozenset("no has with without".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.DOTALL
@@ -45,18 +53,56 @@ _WORDS = re.compile(r"[a-z]+")
 
 
 def _left_out(name: str, attributes: str, inside: int) -> bool:
+    """Whether the element goes whatever it holds."""
     if name in DROPPED or (name == "header" and not inside):
         return True
+    return bool(attributes) and name not in ("html", "body") and bool(_HIDDEN.search(attributes))
+
+
+def _marked(name: str, attributes: str, inside: int) -> set[str]:
+    """The words that mark the element, if any; a header in an article holds its title."""
     if not attributes or name in ("html", "body") or name in BODY and not _commented(attributes):
+        return set()
+    found = _marks(attributes) & MARKED
+    return found - {"header", "masthead"} if inside else found
+
+
+def _is_text(tokens: list, k: int, after: int, page: str, marks: set[str]) -> bool:
+    """Whether a marked element, tokens k to ``after``, encloses an article or is text by its line blocks.
+
+    It is text where WINDOW lines in a row hold LONG characters and few of its characters are in links.
+    """
+    sizes, linked, links, at, skip = [0], 0, 0, tokens[k - 1][1], 0
+    for start, end, slash, name, attributes in tokens[k:after]:
+        if start < skip:
+            continue
+        if name in BODY and not slash and not _commented(attributes) and not _HIDDEN.search(attributes):
+            return True
+        size = len(" ".join(page[at:start].split()))
+        sizes[-1] += size
+        linked += size if links else 0
+        at = end
+        if name in RAW and not slash:
+            stop = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, end)
+            at = skip = stop.end() if stop else end
+        elif name == "a":
+            links = max(0, links - 1) if slash else links + 1
+        elif name and name not in INLINE:
+            sizes.append(0)
+    if marks & SURE:
         return False
-    return bool(_HIDDEN.search(attributes)) or bool(_marks(attributes) & MARKED)
+    sizes = [size for size in sizes if size]
+    most = max((sum(sizes[i : i + WINDOW]) for i in range(len(sizes))), default=0)
+    return most >= LONG and linked <= LINKED * sum(sizes)
 
 
 def _marks(attributes: str) -> set[str]:
     found: set[str] = set()
     for _, *values in _NAMES.findall(attributes):
         split = re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values))
-        found.update(_WORDS.findall(split.lower()))
+        for one in split.lower().split():
+            words = _WORDS.findall(one)
+            found.update(w for w, before in zip(words, ["", *words]) if before not in UNMARKING)
     return found
 
 
@@ -95,6 +141,14 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
             close()
             k, at = _after(tokens, k, name, end, page)
             lines.extend([("", False)] * WINDOW)
+        elif not slash and name not in VOID and not attributes.rstrip().endswith("/") and (marks := _marked(name, attributes, inside)):
+            after, stop = _after(tokens, k, name, end, page)
+            close()
+            if not _is_text(tokens, k, after, page, marks):
+                k, at = after, stop
+                lines.extend([("", False)] * WINDOW)
+            elif name in BODY:
+                inside += 1
         elif name == "br":
             parts.append(" ")
         elif name not in INLINE:

@@ -68,3 +68,28 @@ def test_odd_rows(spark):
     assert found.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted(r.n_chars for r in found.collect()) == [0, 0, 2, 2, 999_999]
     assert extracted(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "start,end",
+    [
+        ("<div class='layout has-sidebar'><article>", "</article></div>"),
+        ("<div id='content' class='no-sidebar'><article>", "</article></div>"),
+        ("<div class='social page'><main>", "</main></div>"),
+        ("<div class='no-sidebar'>", "</div>"),
+    ],
+)
+def test_marked_elements_around_the_text_stay(start, end):
+    assert main_text(f"<body>{start}<p>{ARTICLE}</p><p>{ARTICLE}</p>{end}</body>") == f"{ARTICLE.strip()}\n{ARTICLE.strip()}"
+
+
+def test_marked_elements_that_hold_long_text_stay():
+    lines = "".join(f"<p>{ARTICLE * 3}</p>" for _ in range(2))
+    linked = "".join(f"<p><a href='/'>{ARTICLE * 3}</a></p>" for _ in range(2))
+    long = (ARTICLE * 3).strip()
+    for tag in ("article", "div"):
+        page = f"<{tag}><p>{ARTICLE * 3}</p>%s</{tag}>"
+        assert main_text(page % f"<section id='related-work'>{lines}</section>") == "\n".join([long] * 3)
+        assert main_text(page % f"<section id='related-work'>{linked}</section>") == long
+        assert main_text(page % f"<section id='comments'>{lines}</section>") == long
+    assert main_text(f"<article><div class='entry-header'>Title</div><p>{ARTICLE}</p></article>") == f"Title\n{ARTICLE.strip()}"
