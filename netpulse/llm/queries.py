@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netpulse.llm import bpe, chat, embeddings, html_text, mixing, sharding, simhash, substrings, syncmers, toxicity
+from netpulse.llm import sql
+from netpulse.llm import (
+    bpe, chat, credentials, embeddings, html_text, mixing, repair, sharding, simhash, substrings, syncmers, toxicity, variants
+)
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -74,16 +77,30 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(_table(spark, sf_dir, "documents"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(_table(spark, sf_dir, "conversations"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.secrets(_table(spark, sf_dir, "documents")).drop("base", "added")
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mixing, op2_simhash, op3_embeddings, op4_substrings, op5_toxicity, op6_html, op7_bpe, op8_syncmers, op9_chat, op10_sharding)
+    for f in (op1_mixing, op2_simhash, op3_embeddings, op4_substrings, op5_toxicity, op6_html, op7_bpe, op8_syncmers, op9_chat, op10_sharding,
+              op11_repair, op12_secrets, op13_variants)
 }
 
 _ESCAPED = r"regexp_replace({}, '<(\\*)\|', '<\1\\|', 'g')"
 _ROLE = _ESCAPED.format(r"replace(replace(role, '\', '\\'), chr(10), '\n')")
 
-#: Only operator 9 has a form in SQL; the others need hash functions, compression, or iteration.
+#: Operators 9 and 11 to 13 have a form in SQL; the others need hash functions, compression, or iteration.
 ORACLES: dict[str, str] = {
+    **sql.ORACLES,
     "op9_chat": rf"""
 WITH said AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
