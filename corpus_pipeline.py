@@ -17,13 +17,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash links and of documents that share most word runs stays."""
+    """One document of each group of SimHash links stays."""
     return simhash.deduplicate(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut; n_chars follows the text."""
-    cut = substrings.deduplicated(docs, passages=True)
+    cut = substrings.deduplicated(docs)
     names = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     return cut.withColumns(names).select(*docs.columns)
 
