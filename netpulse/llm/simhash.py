@@ -22,14 +22,6 @@ LEVELS = 3
 #: Buckets up to this size are compared pair by pair across a whole batch at once.
 SMALL = 12
 
-#: Near copies share so much of their runs of so many words (Jaccard similarity of the sets).
-NEAR_SHINGLE, LIKE = 5, 0.8
-#: Candidates share a band of so many least hashes; a pair at LIKE misses all bands once in 400 times.
-BANDS, BAND_ROWS = 20, 6
-#: Candidates of a band compared pair by pair; more are dealt to overlapping pieces of that size.
-PIECE, OVERLAP = 64, 16
-
-_ODD = np.random.Generator(np.random.PCG64(2025)).integers(0, 2**63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -214,131 +206,17 @@ def _edges_of(path: np.ndarray, key: np.ndarray, fp: np.ndarray) -> pd.DataFrame
     return pd.DataFrame({"a": np.concatenate(a) if a else fp[:0], "b": np.concatenate(b) if b else fp[:0]})
 
 
-def near_set(text: bytes) -> np.ndarray:
-    """Distinct hashes of the runs of NEAR_SHINGLE words, ascending."""
-    return np.unique(np.array(shingle_hashes(text, NEAR_SHINGLE), np.uint64))
-
-
-def band_keys(shingles: np.ndarray) -> list[int]:
-    """A key per band from the least hashes of a non-empty set under BANDS * BAND_ROWS orders."""
-    least = np.full(len(_ODD), 2**64 - 1, np.uint64)
-    for at in range(0, len(shingles), 1000):
-        least = np.minimum(least, (shingles[at : at + 1000, None] * _ODD).min(axis=0))
-    return [
-        _signed(xxhash.xxh64_intdigest(row.tobytes(), seed)) for seed, row in enumerate(least.reshape(BANDS, BAND_ROWS))
-    ]
-
-
-def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        rows, sets, bands = [], [], []
-        texts = batch.column("text").to_pylist()
-        for i, text in enumerate(texts):
-            shingles = near_set(text or b"")
-            if len(shingles):
-                rows.append(i)
-                sets.append(_signed(xxhash.xxh64_intdigest(shingles.tobytes())))
-                bands.append(band_keys(shingles))
-        fp = simhashes([texts[i] for i in rows]).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(n).take(pa.array(rows, pa.int64())) for n in ("_key_id", "_key_text")), pa.array(fp),
-             pa.array(sets, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-            names=["_key_id", "_key_text", "fp", "node", "bands"],
-        )
-
-
-def _grouped(frames: Iterator[pd.DataFrame], name: str) -> Iterator[pd.DataFrame]:
-    """Frames sorted by column ``name``, cut so that no group runs over their end."""
-    rest: pd.DataFrame | None = None
-    for frame in frames:
-        if rest is not None and len(rest):
-            frame = pd.concat([rest, frame], ignore_index=True)
-        if not len(frame):
-            continue
-        group = frame[name].to_numpy()
-        cut = int(np.searchsorted(group, group[-1]))
-        yield frame.iloc[:cut]
-        rest = frame.iloc[cut:]
-    if rest is not None and len(rest):
-        yield rest
-
-
-def _bounds(group: np.ndarray) -> Iterator[tuple[int, int]]:
-    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
-    return zip(starts.tolist(), np.r_[starts[1:], len(group)].tolist())
-
-
-def _piece_frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(key, node) to (piece, node): equal candidate lists of several bands are one piece."""
-    for frame in _grouped(frames, "key"):
-        key, node = frame["key"].to_numpy(), frame["node"].to_numpy()
-        pieces, nodes = [], []
-        for start, end in _bounds(key):
-            if end - start < 2:
-                continue
-            own = node[start:end]
-            if len(own) > PIECE:  # another order in each band, so that other candidates meet
-                own = own[np.argsort((own.view(np.uint64) ^ key[start : start + 1].view(np.uint64)) * _ODD[0])]
-            step = PIECE - OVERLAP
-            for at in range(0, max(1, len(own) - OVERLAP), step):
-                part = np.sort(own[at : at + PIECE])
-                pieces.append(np.full(len(part), _signed(xxhash.xxh64_intdigest(part.tobytes()))))
-                nodes.append(part)
-        none = np.array([], np.int64)
-        yield pd.DataFrame({"piece": np.concatenate([none, *pieces]), "node": np.concatenate([none, *nodes])})
-
-
-def _alike_frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Edges that connect what is LIKE in a piece, by the sets themselves."""
-    for frame in _grouped(frames, "piece"):
-        fp, texts, edges = frame["fp"].to_numpy(), frame["text"].to_numpy(), []
-        for start, end in _bounds(frame["piece"].to_numpy()):
-            sets = [near_set(bytes(t)) for t in texts[start:end]]
-            root = list(range(len(sets)))
-            for i, j in ((i, j) for j in range(1, len(sets)) for i in range(j)):
-                if root[i] == root[j] or min(len(sets[i]), len(sets[j])) < LIKE * max(len(sets[i]), len(sets[j])):
-                    continue
-                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if both >= LIKE * (len(sets[i]) + len(sets[j]) - both):
-                    root = [root[i] if r == root[j] else r for r in root]
-                    edges.append((fp[start + i], fp[start + j]))
-        yield pd.DataFrame(np.array(edges, np.int64).reshape(-1, 2), columns=["a", "b"])
-
-
-def alike_edges(docs: DataFrame) -> DataFrame:
-    """Edges ``(a, b)`` between the fingerprints of documents whose word runs are LIKE or more the same.
-
-    Fingerprints of such pairs differ in up to a dozen of 64 bits, too many for masks: keys of the
-    few bits left would put unrelated texts together. So candidates share a band of least hashes,
-    and the sets of each piece of candidates are compared. Texts travel only for candidates.
-    """
-    keyed = with_row_key(docs.select("doc_id", "text")).select("_key_id", "_key_text", F.col("text").cast("binary").alias("text"))
-    made = keyed.mapInArrow(_sketch_batches, "_key_id bigint, _key_text bigint, fp bigint, node bigint, bands array<bigint>")
-    sketches = stored(made, "sketches")
-    row = F.struct("_key_id", "_key_text", "fp")
-    nodes = stored(sketches.groupBy("node").agg(F.min(row).alias("row"), F.first("bands").alias("bands")), "sets")
-    dealt = nodes.select("node", F.explode("bands").alias("key")).repartition("key").sortWithinPartitions("key", "node")
-    pieces = stored(dealt.mapInPandas(_piece_frames, "piece bigint, node bigint").distinct(), "pieces")
-    members = stored(pieces.select("node").distinct().join(nodes, "node").select("node", "row.*"), "members")
-    texts = stored(keyed.join(members, ["_key_id", "_key_text"]).dropDuplicates(["node"]).select("node", "fp", "text"), "texts")
-    sent = pieces.join(texts, "node").repartition("piece").sortWithinPartitions("piece", "node")
-    alike = sent.select("piece", "fp", "text").mapInPandas(_alike_frames, "a bigint, b bigint")
-    same = sketches.select("node", "fp").distinct().join(nodes.select("node", F.col("row.fp").alias("a")), "node")
-    return stored(alike.unionByName(same.where("a <> fp").select("a", F.col("fp").alias("b"))), "alike")
-
-
-def near_duplicate_groups(docs: DataFrame, more_edges: DataFrame | None = None) -> DataFrame:
+def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     """doc_id, _key_id, _key_text, fp, root, component_id for every row.
 
     component_id is the smallest doc_id reachable over links between fingerprints, null only where a
     component has no doc_id at all. Null and empty texts have fingerprint 0 and link like any other.
     Repeated rows share a fingerprint. Copies cost one node: links are sought between distinct
-    fingerprints. ``more_edges`` link fingerprints beyond the radius.
+    fingerprints.
     """
     rows = stored(fingerprints(docs), "fingerprints")
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
-    edges = link_edges(nodes) if more_edges is None else link_edges(nodes).unionByName(more_edges)
-    roots = stored(connected_components(edges), "roots")
+    roots = stored(connected_components(link_edges(nodes)), "roots")
     least = stored(
         roots.join(nodes, roots.node == nodes.fp).groupBy("root").agg(F.min("least_id").alias("component_id")), "least-id"
     )
@@ -358,10 +236,10 @@ def fingerprint_text() -> Column:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One document of each group: the one with the smallest doc_id, ties by a hash of the text.
 
-    Groups link documents within the radius and those whose word runs are LIKE or more the same. All columns are kept. Rows that repeat a kept document (same doc_id and text) go. Only the keys
-    of the kept documents are joined to the texts.
+    Groups are those of :func:`near_duplicate_groups`. All columns are kept. Rows that repeat a kept
+    document (same doc_id and text) go. Only the keys of the kept documents are joined to the texts.
     """
-    groups = near_duplicate_groups(docs, alike_edges(docs))
+    groups = near_duplicate_groups(docs)
     order = F.struct("_key_id", "_key_text")
     keep = stored(groups.groupBy("root").agg(F.min(order).alias("k")).select("k._key_id", "k._key_text"), "keep")
     kept = with_row_key(docs).join(keep, ["_key_id", "_key_text"], "left_semi")

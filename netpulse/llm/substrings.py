@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -14,13 +13,11 @@ from pyspark.sql import functions as F
 from netpulse.llm.common import slices, stored, with_row_key
 
 #: Bytes that the rolling hash sees, and one cut in so many places where a word starts.
-SPAN, CUT_ONE_IN = 16, 4
+SPAN, CUT_ONE_IN = 16, 6
 #: A chunk without such a place is cut after so many bytes.
 LONGEST = 256
 #: Repeated chunks in a row are removed from so many words or, where words are rare, bytes on.
 LEAST_WORDS, LEAST_BYTES = 20, 600
-#: Bytes hashed at once; a longer text is hashed as a whole.
-BUFFER = 1 << 22
 
 _GEAR = np.frombuffer(np.random.Generator(np.random.PCG64(2024)).bytes(1024), "<u4")
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -66,9 +63,8 @@ def _passage_ends(cuts: np.ndarray, begun: np.ndarray) -> np.ndarray:
     return np.minimum(by_words, np.searchsorted(cuts, cuts[:-1] + LEAST_BYTES))
 
 
-def _chunk_batches(batches: Iterator[pa.RecordBatch], passages: bool = False) -> Iterator[pa.RecordBatch]:
-    digest = xxhash.xxh3_64_intdigest
-    names = ["_key_id", "_key_text", "start", "size", "words", "digest"]
+def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    digest = xxhash.xxh3_128_digest
     for batch in slices(batches):
         keys = [batch.column(i).to_numpy() for i in (0, 1)]
         held: list[list] = [[], [], [], [], [], []]
@@ -80,41 +76,45 @@ def _chunk_batches(batches: Iterator[pa.RecordBatch], passages: bool = False) ->
             raw = _SPACE[np.frombuffer(data, np.uint8)]
             begins = np.r_[0, np.cumsum(~raw & np.r_[True, raw[:-1]])]
             first = np.arange(len(cuts) - 1)
-            end = _passage_ends(cuts, begins[cuts]) if passages else first + 1
+            end = _passage_ends(cuts, begins[cuts])
             first, end = first[end < len(cuts)], end[end < len(cuts)]
             a, b = cuts[first], cuts[end]
-            made = np.fromiter((digest(data[x:y]) for x, y in zip(a.tolist(), b.tolist())), np.uint64, len(a))
-            columns = (np.full(len(made), keys[0][i]), np.full(len(made), keys[1][i]), a.astype(np.int32),
-                       (b - a).astype(np.int32), (begins[b] - begins[a]).astype(np.int32), made.view(np.int64))
+            made = b"".join(digest(data[x:y]) for x, y in zip(a.tolist(), b.tolist()))
+            columns = (np.full(len(a), keys[0][i]), np.full(len(a), keys[1][i]), a.astype(np.int32),
+                       (b - a).astype(np.int32), (begins[b] - begins[a]).astype(np.int32), made)
             for held_one, column in zip(held, columns):
                 held_one.append(column)
-            rows += len(made)
+            rows += len(a)
             if rows > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in held], names=names)
+                yield _passage_batch(held, rows)
                 held, rows = [[], [], [], [], [], []], 0
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in held], names=names)
+            yield _passage_batch(held, rows)
 
 
-def chunks(docs: DataFrame, passages: bool = False) -> DataFrame:
-    """_key_id, _key_text, start, size, words, digest: every chunk of every text, offsets in UTF-8 bytes.
+def _passage_batch(held: list[list], rows: int) -> pa.RecordBatch:
+    digests = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), rows, [None, pa.py_buffer(b"".join(held[-1]))])
+    columns = [*(pa.array(np.concatenate(x)) for x in held[:-1]), digests.cast(pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["_key_id", "_key_text", "start", "size", "words", "digest"])
 
-    With ``passages``, from every chunk on the chunks that make LEAST_WORDS words or LEAST_BYTES bytes.
-    """
+
+def passages(docs: DataFrame) -> DataFrame:
+    """_key_id, _key_text, start, size, words, digest: from every chunk on, the chunks that make LEAST_WORDS
+    words or LEAST_BYTES bytes; offsets in UTF-8 bytes, digests of 128 bits."""
     source = with_row_key(docs.select("doc_id", "text")).select("_key_id", "_key_text", F.col("text").cast("binary"))
     return source.mapInArrow(
-        partial(_chunk_batches, passages=passages), "_key_id bigint, _key_text bigint, start int, size int, words int, digest bigint"
+        _passage_batches, "_key_id bigint, _key_text bigint, start int, size int, words int, digest binary"
     )
 
 
-def repeated_chunks(docs: DataFrame, passages: bool = False) -> DataFrame:
-    """_key_id, _key_text, spans: per document its chunks that a document before it has too, in order.
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """_key_id, _key_text, spans: per document its passages that a document before it has too, in order.
 
-    The digest of a chunk is counted where it arises, so a passage in a large share of the documents
+    The digest of a passage is counted where it arises, so one in a large share of the documents
     reaches the shuffle once per task. Only digests that several documents have are stored; the join
-    reads them from there, and Spark splits a digest that many chunks have.
+    reads them from there, and Spark splits a digest that many passages have.
     """
-    made = chunks(docs, passages)
+    made = passages(docs)
     seen = made.groupBy("digest").agg(F.min("_key_id").alias("first"), F.max("_key_id").alias("last"))
     shared = stored(seen.where(F.col("first") < F.col("last")).select(F.col("digest").alias("_digest"), "first"), "shared")
     later = made.join(shared, (F.col("digest") == F.col("_digest")) & (F.col("_key_id") > F.col("first")))
@@ -137,20 +137,18 @@ def _cut(text: bytes, starts: list[int], sizes: list[int], words: list[int]) ->
     return b"".join(left), runs, removed
 
 
-def deduplicated(docs: DataFrame, passages: bool = False) -> DataFrame:
+def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``, and ``_runs``, ``_removed`` (bytes).
 
     A passage stays in the document with the smallest doc_id that has it (null ids are greatest) and
-    goes from all others. Runs of repeated chunks below LEAST_WORDS words stay: chance repeats. Of a
-    repeated passage, the ends up to the nearest cut may stay. Repeats inside one document and rows
-    that share its doc_id stay. Null and empty texts stay as they are; a text that is repeated as a
+    goes from all others. A passage is chunks that follow each other for LEAST_WORDS words or
+    LEAST_BYTES bytes in one earlier document; shorter repeats and runs patched from several documents
+    stay. Of a repeated passage, the ends up to the nearest cut may stay. Repeats inside one document
+    and rows that share its doc_id stay. Null and empty texts stay as they are; a text that is repeated as a
     whole becomes empty, no row goes. Each text is shuffled once, to meet its spans.
-
-    The chunks of a run may come from several documents, or stand apart there. With ``passages``, only
-    chunks that follow each other for LEAST_WORDS words or LEAST_BYTES bytes in an earlier document go.
     """
     names = docs.columns
-    spans = repeated_chunks(docs, passages).withColumnsRenamed(
+    spans = repeated_passages(docs).withColumnsRenamed(
         {"_key_id": "_span_id", "_key_text": "_span_text", "spans": "_spans"}
     )
     keyed = with_row_key(docs).join(spans, F.expr("_key_id = _span_id AND _key_text = _span_text"), "left")

@@ -20,8 +20,8 @@ def anchors(text: Column) -> Column:
 
     A run of K words is an anchor when the least of its K - S + 1 inner runs of S words, by hash, is
     its first or last. That depends on the run alone, so an edit changes only the anchors that touch
-    it. Texts of fewer than K words have one anchor, the hash of all of them; null and empty texts
-    have none.
+    it. A text without such a run has its run of least hash as its anchor, one of fewer than K words
+    the hash of all of them; only texts without words have none.
     """
     words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     hashes = F.transform(words, lambda w: F.xxhash64(w))
@@ -41,7 +41,10 @@ def _anchors_of(hashes: Column) -> Column:
                     F.get(m, i - 1), F.get(m, i - 1 + last)
                 ),
             )
-            return F.transform(edge, lambda i: F.shiftrightunsigned(F.xxhash64(F.slice(h, i, F.lit(K))), 32))
+            run = lambda i: F.shiftrightunsigned(F.xxhash64(F.slice(h, i, F.lit(K))), 32)
+            every = F.transform(F.sequence(F.lit(1), F.size(h) - K + 1), run)
+            least = lambda found: F.when(F.size(found) > 0, found).otherwise(F.array(F.array_min(every)))
+            return F.flatten(F.transform(F.array(F.transform(edge, run)), least))
 
         several = F.flatten(F.transform(F.array(inner), runs))
         one = F.array(F.shiftrightunsigned(F.xxhash64(h), 32))
@@ -56,7 +59,7 @@ def fingerprint_text(found: Column) -> Column:
 
 
 def likeness(left: Column, right: Column) -> Column:
-    """Jaccard similarity of two anchor sets; 1 for two empty ones."""
+    """Jaccard similarity of two anchor sets; 1 for two empty ones, which only texts without words have."""
     both = F.size(F.array_intersect(left, right))
     either = F.size(left) + F.size(right) - both
     return F.when(either > 0, both / either).otherwise(1.0).cast("double")

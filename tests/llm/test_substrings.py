@@ -41,28 +41,26 @@ def test_planted_passages_stay_once_and_clean_documents_stay_whole(spark, folder
 
 
 def plain_duplicates(docs: dict[int, str]) -> dict[int, str]:
-    """The same rule, chunk by chunk in order of id."""
+    """The same rule, passage by passage in order of id: a passage is the chunks from one on that are long enough."""
     seen: set[bytes] = set()
     out = {}
     for i in sorted(docs):
         data = docs[i].encode()
         cuts = substrings.cut_points(data).tolist()
-        parts = [data[a:b] for a, b in zip(cuts, cuts[1:])]
-        flags, left, k = [p in seen for p in parts], [], 0
-        while k < len(parts):
-            j = k
-            while j < len(parts) and flags[j]:
-                j += 1
-            run = b"".join(parts[k:j])
-            if j == k:
-                left.append(parts[k])
-                k += 1
-                continue
-            n = len((b" " if cuts[k] and data[cuts[k] - 1 : cuts[k]].isspace() else b"").join([b"", run]).split())
-            left.append(b"" if n >= substrings.LEAST_WORDS or len(run) >= substrings.LEAST_BYTES else run)
-            k = j
-        seen.update(parts)
-        out[i] = b"".join(left).decode()
+        gone = np.zeros(len(data), bool)
+        own = []
+        for k, start in enumerate(cuts[:-1]):
+            for end in cuts[k + 1 :]:
+                words = sum(
+                    not data[p : p + 1].isspace() and (p == 0 or data[p - 1 : p].isspace()) for p in range(start, end)
+                )
+                if words >= substrings.LEAST_WORDS or end - start >= substrings.LEAST_BYTES:
+                    own.append(data[start:end])
+                    if own[-1] in seen:
+                        gone[start:end] = True
+                    break
+        seen.update(own)
+        out[i] = bytes(np.frombuffer(data, np.uint8)[~gone]).decode()
     return out
 
 
@@ -121,7 +119,7 @@ def test_passages_stand_in_one_earlier_document(spark):
     rows = [(i, p) for i, p in enumerate(parts)]
     rows += [(10, "pas " * 3), (11, "pas " * 200), (12, patched), (13, passage), (14, f"{words(rng, 30)} {passage} {words(rng, 30)}")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r.doc_id: r for r in substrings.deduplicated(df, passages=True).collect()}
+    found = {r.doc_id: r for r in substrings.deduplicated(df).collect()}
     assert all(found[i].text == text for i, text in rows if i < 14)
     assert found[14]._runs == 1 and 0.8 * len(passage) < found[14]._removed <= len(passage) + 1
 
