@@ -19,16 +19,20 @@ from pyspark.sql import functions as F
 
 from netpulse.llm.common import slices, stored
 
-#: The classifier is fitted on at most this many labelled documents of each class, of this many bytes each.
-SAMPLE_PER_CLASS, SAMPLE_BYTES = {1: 6000, 0: 12_000}, 20_000
+#: The classifier is fitted on at most this many labelled documents of each class, and on so many code
+#: points of each: of a longer one on a part at a place that its id's hash chooses.
+SAMPLE_PER_CLASS, SAMPLE_CHARS = {1: 6000, 0: 12_000}, 20_000
 #: Words enter the toxic text if in so many sample documents, so many times as frequent there, and
 #: with a log-likelihood ratio against chance of so many nats.
 LEAST_DOCS, LEAST_RATIO, LEAST_EVIDENCE = 3, 8.0, 7.0
 #: Words that the dictionaries are trained on at most, and the dictionaries' bytes: toxic, ordinary.
 WORDS = (20_000, 60_000)
 DICTIONARY = (16_384, 100_000)
-#: A window counts from so many nats of log odds; below, it is the noise of rare lengths.
-LEAST_ODDS = 1.5
+#: A window counts from one of these many nats of log odds; below, it is the noise of rare lengths. The
+#: fit takes the one whose logistic does best on rows of the sample that it was not fitted on.
+LEAST_ODDS = (0.0, 0.5, 1.0, 1.5, 2.0)
+#: Text without a space for so many characters is cut into windows of so many, one every so many.
+UNSPACED, PIECE, STEP = 32, 8, 4
 #: Score from which a document is rejected.
 THRESHOLD = 0.3
 #: Rows of the toxicity training fold: crc32(doc_id as text) mod FOLDS is not HELD_OUT.
@@ -46,6 +50,9 @@ _SEARCH = dict(
     strategy=zstandard.STRATEGY_BTOPT, write_content_size=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
 )
 _BINS = (16, 32, 18)
+#: Windows without a letter or under three bytes share a bin of their own: their lengths tell nothing.
+_PLAIN = 16 * 32 * 18
+_ALL_BINS = _PLAIN + 1
 
 
 @dataclass(frozen=True)
@@ -55,6 +62,7 @@ class Model:
     toxic: bytes = b""
     ordinary: bytes = b""
     odds: bytes = b""
+    least: float = 0.0
     weights: tuple[float, ...] = ()
     prior: float = 0.0
     key: int = field(default=0)
@@ -74,8 +82,7 @@ class Scorer:
         ]
         self.empty = [self._lengths(c, [_CARRIER])[0] for c in self.compressors]
         self.odds = np.frombuffer(model.odds, "<f4") if model.odds else None
-        #: Log odds of a word, where they count; None for a word that tells nothing.
-        self.known: dict[str, float | None] = {}
+        self.known: dict[str, float] = {}
 
     @staticmethod
     def _lengths(compressor, windows: list[bytes]) -> np.ndarray:
@@ -84,6 +91,13 @@ class Scorer:
 
     def bins(self, words: list[str]) -> np.ndarray:
         """Bin of each word: its window's length against the toxic and the ordinary dictionary, and its own."""
+        out = np.full(len(words), _PLAIN, np.int64)
+        telling = [i for i, w in enumerate(words) if _tells(w)]
+        if telling:
+            out[telling] = self._compressed([words[i] for i in telling])
+        return out
+
+    def _compressed(self, words: list[str]) -> np.ndarray:
         raw = [b" %b " % w.encode() for w in words]
         windows = [_CARRIER + w for w in raw]
         costs = [self._lengths(c, windows) - e for c, e in zip(self.compressors, self.empty)]
@@ -95,16 +109,15 @@ class Scorer:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = [w for w in words if w not in self.known]
-        self.known.update((w, None) for w in new if not _tells(w))
-        new = [w for w in new if w not in self.known]
         for start in range(0, len(new), 20_000):
             part = new[start : start + 20_000]
             found = self.odds[self.bins(part)] if self.odds is not None else np.zeros(len(part))
-            self.known.update(zip(part, np.where(found >= LEAST_ODDS, found, 0).tolist()))
+            self.known.update(zip(part, found.tolist()))
 
-    def features(self, texts: list[str | None]) -> np.ndarray:
-        """Per text the mean log odds, where they count, over the words of the whole text, and their number."""
-        out = np.zeros((len(texts), 2))
+    def features(self, texts: list[str | None], least: tuple[float, ...] | None = None) -> np.ndarray:
+        """Per text and bound the mean log odds from that bound on, over the windows of the whole text, and their number."""
+        bounds = (self.model.least,) if least is None else least
+        out = np.zeros((len(texts), len(bounds) + 1))
         start = 0
         while start < len(texts):
             # texts are taken together up to TOGETHER characters
@@ -115,9 +128,9 @@ class Scorer:
             split = [_split(t) for t in texts[start:end]]
             self.remember(set().union(*split))
             for i, words in enumerate(split, start):
-                values = list(map(self.known.__getitem__, words))
-                n = len(values) - values.count(None)
-                out[i] = sum(filter(None, values)) / max(1, n), n
+                values = np.fromiter(map(self.known.__getitem__, words), float, len(words))
+                out[i, :-1] = [values[values >= bound].sum() / max(1, len(values)) for bound in bounds]
+                out[i, -1] = len(values)
             start = end
         return out
 
@@ -130,7 +143,13 @@ def words_of(text: str | None) -> list[str]:
 
 
 def _split(text: str | None) -> list[str]:
-    return [x.strip(_EDGES) for x in (text or "").lower().split()]
+    out = []
+    for word in (text or "").lower().split():
+        if len(word) > UNSPACED:
+            out.extend(word[i : i + PIECE] for i in range(0, len(word) - PIECE + STEP, STEP))
+        else:
+            out.append(word.strip(_EDGES))
+    return out
 
 
 def _tells(word: str) -> bool:
@@ -158,23 +177,29 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, toxic, part: a bounded, repeatable sample of the labelled rows outside the held-out fold.
+    """doc_id, text, toxic, part, longer: a bounded, repeatable sample of the labelled rows outside the held-out fold.
 
     Of each class the SAMPLE_PER_CLASS ids first in a hash order. The id list is bounded, so it is
     joined by broadcast and the corpus is not shuffled. Of copies and near copies in the sample one
-    stays, or their words would pass for toxic ones. part 0 to 9 splits the sample for the three fits.
+    stays, or their words would pass for toxic ones. part 0 to 9 splits the sample for the three fits;
+    longer is how many times as long the whole text is.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     one = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))  # repeated labels: toxic wins
     order = F.xxhash64("doc_id", F.lit(5))
     picked = [one.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(n) for c, n in SAMPLE_PER_CLASS.items()]
     ids = stored(picked[0].unionByName(picked[1]), "sample-ids")
-    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= SAMPLE_BYTES)
-    found = stored(texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic"), "sample-texts")
-    found = found.mapInArrow(_with_least_hashes, "doc_id bigint, text string, toxic int, least0 bigint, least1 bigint")
+    length, whole = F.char_length("text"), F.char_length("text") <= SAMPLE_CHARS
+    start = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.greatest(length - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
+    part = F.when(whole, F.col("text")).otherwise(F.substring("text", start, F.lit(SAMPLE_CHARS)))
+    longer = F.when(whole, 1.0).otherwise(length / SAMPLE_CHARS).cast("double")
+    texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(ids), "doc_id")
+    found = stored(texts.select("doc_id", part.alias("text"), "toxic", longer.alias("longer")), "sample-texts")
+    kept = "doc_id bigint, text string, toxic int, longer double"
+    found = found.mapInArrow(_with_least_hashes, f"{kept}, least0 bigint, least1 bigint")
     for key in ("least0", "least1"):  # copies and near copies share at least one, as a rule
         found = found.withColumn("copy", F.row_number().over(Window.partitionBy(key).orderBy("doc_id", "text"))).where("copy = 1")
-    found = found.select("doc_id", "text", "toxic")
+    found = found.select("doc_id", "text", "toxic", "longer")
     part = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(10))
     return stored(found.withColumn("part", part), "sample")
 
@@ -188,10 +213,10 @@ def _with_least_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             runs = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
             for seed, out in enumerate(least):
                 out.append(min(xxhash.xxh64_intdigest(r, seed) for r in runs) - 2**63)
-        ids, texts, toxic = batch.columns
+        ids, texts, toxic, longer = batch.columns
         yield pa.RecordBatch.from_arrays(
-            [ids.cast(pa.int64()), texts, toxic.cast(pa.int32()), *[pa.array(x, pa.int64()) for x in least]],
-            names=["doc_id", "text", "toxic", "least0", "least1"],
+            [ids.cast(pa.int64()), texts, toxic.cast(pa.int32()), longer, *[pa.array(x, pa.int64()) for x in least]],
+            names=["doc_id", "text", "toxic", "longer", "least0", "least1"],
         )
 
 
@@ -203,16 +228,38 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = training_sample(docs, labels)
     per_class = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if min(per_class.get(0, 0), per_class.get(1, 0)) < 2:
-        return Model(weights=(math.log(prior / (1 - prior)), 0.0, 0.0, 0.0, 0.0), prior=prior)
+        return Model(weights=(math.log(prior / (1 - prior)), 0.0, 0.0, 0.0, 0.0), prior=prior)  # nothing to learn from
     toxic, ordinary = _dictionaries(sample.where("part < 6"))
     base = Model(toxic, ordinary)
     odds = _fit_odds(sample.where("part >= 6 AND part < 8"), base)
     model = Model(toxic, ordinary, odds)
-    features = sample.where("part >= 8").select("text", "toxic").mapInArrow(
-        _features(model), "mean double, n double, toxic int"
+    means = ", ".join(f"mean{i} double" for i in range(len(LEAST_ODDS)))
+    features = sample.where("part >= 8").select("doc_id", "text", "toxic", "longer").mapInArrow(
+        _features(model), f"{means}, n double, toxic int, doc_id bigint"
     )
-    rows = np.array([tuple(r) for r in features.collect()], float).reshape(-1, 3)  # a fifth of the sample
-    return Model(toxic, ordinary, odds, _logistic(rows, prior), prior)
+    found = np.array(sorted((tuple(r) for r in features.collect()), key=lambda r: r[-1]), float)  # a fifth of the sample
+    found = found.reshape(-1, len(LEAST_ODDS) + 3)
+    by_bound = [found[:, [i, -3, -2]] for i in range(len(LEAST_ODDS))]
+    best = min(range(len(LEAST_ODDS)), key=lambda i: (_loss_on_others(by_bound[i], prior), i))
+    return Model(toxic, ordinary, odds, LEAST_ODDS[best], _logistic(by_bound[best], prior), prior)
+
+
+def _weights(y: np.ndarray, prior: float) -> np.ndarray:
+    """Rows weighted so that the classes stand as in all labels."""
+    return np.where(y == 1, prior / max(1, (y == 1).sum()), (1 - prior) / max(1, (y == 0).sum())) * len(y)
+
+
+def _loss_on_others(rows: np.ndarray, prior: float, folds: int = 5) -> float:
+    """Log loss of each part of the rows under a logistic fitted on the other parts."""
+    total = 0.0
+    for fold in range(folds):
+        out = np.arange(len(rows)) % folds == fold
+        if not out.any() or out.all():
+            continue
+        at = _design(rows[out, :2]) @ np.array(_logistic(rows[~out], prior))
+        y = rows[out, 2]
+        total += float(_weights(rows[:, 2], prior)[out] @ np.logaddexp(0, np.where(y == 1, -1, 1) * at))
+    return total
 
 
 def _dictionaries(sample: DataFrame) -> tuple[bytes, bytes]:
@@ -268,10 +315,10 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _fit_odds(sample: DataFrame, model: Model) -> bytes:
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(model)
-        held, sums = (Counter(), Counter()), np.zeros((2, int(np.prod(_BINS))))
+        held, sums = (Counter(), Counter()), np.zeros((2, _ALL_BINS))
         for frame in frames:
             for text, toxic in zip(frame["text"], frame["toxic"]):
-                held[int(toxic)].update(words_of(text))
+                held[int(toxic)].update(_split(text))
         for kind, counts in enumerate(held):
             if counts:
                 np.add.at(sums[kind], scorer.bins(list(counts)), list(counts.values()))
@@ -279,7 +326,7 @@ def _fit_odds(sample: DataFrame, model: Model) -> bytes:
         yield pd.DataFrame({"toxic": toxic.astype(np.int32), "bin": place.astype(np.int32), "n": sums[toxic, place]})
 
     rows = sample.select("text", "toxic").mapInPandas(count, "toxic int, bin int, n double")
-    sums = np.zeros((2, int(np.prod(_BINS))))
+    sums = np.zeros((2, _ALL_BINS))
     for r in rows.groupBy("toxic", "bin").agg(F.sum("n").alias("n")).collect():
         sums[r.toxic, r.bin] = r.n
     ordinary = (sums[0] + 0.1) / (sums[0].sum() + 0.1 * sums.shape[1])
@@ -290,9 +337,12 @@ def _fit_odds(sample: DataFrame, model: Model) -> bytes:
 def _features(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = _scorer(model).features(batch.column(0).to_pylist())
+            ids, texts, toxic, longer = batch.columns
+            found = _scorer(model).features(texts.to_pylist(), LEAST_ODDS)
+            found[:, -1] *= longer.to_numpy(zero_copy_only=False)
+            names = [*(f"mean{i}" for i in range(len(LEAST_ODDS))), "n", "toxic", "doc_id"]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found[:, 0]), pa.array(found[:, 1]), batch.column(1).cast(pa.int32())], names=["mean", "n", "toxic"]
+                [*(pa.array(column) for column in found.T.copy()), toxic.cast(pa.int32()), ids.cast(pa.int64())], names=names
             )
 
     return run
@@ -301,7 +351,7 @@ def _features(model: Model):
 def _logistic(rows: np.ndarray, prior: float) -> tuple[float, ...]:
     """Ridge logistic by Newton steps, classes weighted to the prior of all labels."""
     x, y = _design(rows[:, :2]), rows[:, 2]
-    weight = np.where(y == 1, prior / max(1, (y == 1).sum()), (1 - prior) / max(1, (y == 0).sum())) * len(y)
+    weight = _weights(y, prior)
     w = np.zeros(x.shape[1])
     w[0] = math.log(prior / (1 - prior))
 

@@ -48,3 +48,23 @@ def test_odd_rows(spark, odd):
         assert len({r._score for r in found if not (r.text or "").strip()}) == 1
         assert toxicity.without_toxic(odd, given).columns == odd.columns
     assert toxicity.scored(odd.limit(0), model).collect() == []
+
+
+def test_windows_cover_text_without_spaces_and_short_words():
+    text = "".join(chr(0x4E00 + i * 37 % 5000) for i in range(101))
+    pieces = toxicity._split(f"ab {text} 12")
+    assert pieces[0] == "ab" and pieces[-1] == "12" and set("".join(pieces[1:-1])) == set(text)
+    scorer = toxicity.Scorer(toxicity.Model(b" some words of a dictionary ", b" other words in here "))
+    bins = scorer.bins(["ab", "word", "12", "1234567"])
+    assert bins[0] == bins[2] == bins[3] == toxicity._PLAIN and bins[1] != toxicity._PLAIN
+
+
+def test_long_documents_stay_in_the_sample(spark):
+    rows = [(i, f"w{i} " * (30_000 if i % 5 == 0 else 20)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    sample = {r.doc_id: r for r in toxicity.training_sample(docs, labels).collect()}
+    expected = {i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert set(sample) == expected
+    for i, r in sample.items():
+        assert len(r.text) <= toxicity.SAMPLE_CHARS and abs(len(r.text) * r.longer - len(rows[i][1])) < 1
