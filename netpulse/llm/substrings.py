@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from netpulse.llm.common import slices, stored, with_row_key
 
 #: Bytes that the rolling hash sees, and one cut in so many places where a word starts.
-SPAN, CUT_ONE_IN = 16, 6
+SPAN, CUT_ONE_IN = 16, 4
 #: A chunk without such a place is cut after so many bytes.
 LONGEST = 256
 #: Repeated chunks in a row are removed from so many words or, where words are rare, bytes on.
@@ -67,7 +67,7 @@ def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     digest = xxhash.xxh3_128_digest
     for batch in slices(batches):
         keys = [batch.column(i).to_numpy() for i in (0, 1)]
-        held: list[list] = [[], [], [], [], [], []]
+        held: list[list] = [[], [], [], []]
         rows = 0
         for i, data in enumerate(batch.column(2).to_pylist()):
             if not data:
@@ -78,16 +78,17 @@ def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             first = np.arange(len(cuts) - 1)
             end = _passage_ends(cuts, begins[cuts])
             first, end = first[end < len(cuts)], end[end < len(cuts)]
+            if len(first) and end[-1] < len(cuts) - 1:  # the last passage also up to the end of the text
+                first, end = np.r_[first, first[-1]], np.r_[end, len(cuts) - 1]
             a, b = cuts[first], cuts[end]
             made = b"".join(digest(data[x:y]) for x, y in zip(a.tolist(), b.tolist()))
-            columns = (np.full(len(a), keys[0][i]), np.full(len(a), keys[1][i]), a.astype(np.int32),
-                       (b - a).astype(np.int32), (begins[b] - begins[a]).astype(np.int32), made)
+            columns = (np.full(len(a), keys[0][i]), np.full(len(a), keys[1][i]), a << 32 | (b - a), made)
             for held_one, column in zip(held, columns):
                 held_one.append(column)
             rows += len(a)
             if rows > 50_000:
                 yield _passage_batch(held, rows)
-                held, rows = [[], [], [], [], [], []], 0
+                held, rows = [[], [], [], []], 0
         if rows:
             yield _passage_batch(held, rows)
 
@@ -95,16 +96,15 @@ def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def _passage_batch(held: list[list], rows: int) -> pa.RecordBatch:
     digests = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), rows, [None, pa.py_buffer(b"".join(held[-1]))])
     columns = [*(pa.array(np.concatenate(x)) for x in held[:-1]), digests.cast(pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, names=["_key_id", "_key_text", "start", "size", "words", "digest"])
+    return pa.RecordBatch.from_arrays(columns, names=["_key_id", "_key_text", "span", "digest"])
 
 
 def passages(docs: DataFrame) -> DataFrame:
-    """_key_id, _key_text, start, size, words, digest: from every chunk on, the chunks that make LEAST_WORDS
-    words or LEAST_BYTES bytes; offsets in UTF-8 bytes, digests of 128 bits."""
+    """_key_id, _key_text, span, digest: from every chunk on, the chunks that make LEAST_WORDS words or
+    LEAST_BYTES bytes, and from the last such chunk on all that is left. A span is its start and, in the lower 32 bits, its size, both in UTF-8 bytes; digests
+    have 128 bits."""
     source = with_row_key(docs.select("doc_id", "text")).select("_key_id", "_key_text", F.col("text").cast("binary"))
-    return source.mapInArrow(
-        _passage_batches, "_key_id bigint, _key_text bigint, start int, size int, words int, digest binary"
-    )
+    return source.mapInArrow(_passage_batches, "_key_id bigint, _key_text bigint, span bigint, digest binary")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -118,21 +118,18 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     seen = made.groupBy("digest").agg(F.min("_key_id").alias("first"), F.max("_key_id").alias("last"))
     shared = stored(seen.where(F.col("first") < F.col("last")).select(F.col("digest").alias("_digest"), "first"), "shared")
     later = made.join(shared, (F.col("digest") == F.col("_digest")) & (F.col("_key_id") > F.col("first")))
-    span = F.struct("start", "size", "words")
-    return later.groupBy("_key_id", "_key_text").agg(F.sort_array(F.collect_set(span)).alias("spans"))
+    return later.groupBy("_key_id", "_key_text").agg(F.sort_array(F.collect_set("span")).alias("spans"))
 
 
-def _cut(text: bytes, starts: list[int], sizes: list[int], words: list[int]) -> tuple[bytes, int, int]:
-    """Remove runs of adjoining or overlapping spans that are long enough: what is left, runs, bytes removed."""
+def _cut(text: bytes, spans: list[int]) -> tuple[bytes, int, int]:
+    """Remove runs of adjoining or overlapping spans, which come in order: what is left, runs, bytes removed."""
     left, at, removed, runs, i = [], 0, 0, 0, 0
-    while i < len(starts):
-        j, end, count = i, starts[i], 0
-        while j < len(starts) and starts[j] <= end:
-            end, count, j = max(end, starts[j] + sizes[j]), count + words[j], j + 1
-        if count >= LEAST_WORDS or end - starts[i] >= LEAST_BYTES:
-            left.append(text[at : starts[i]])
-            removed, runs, at = removed + end - starts[i], runs + 1, end
-        i = j
+    while i < len(spans):
+        begin = end = spans[i] >> 32
+        while i < len(spans) and spans[i] >> 32 <= end:
+            end, i = max(end, (spans[i] >> 32) + (spans[i] & 0xFFFFFFFF)), i + 1
+        left.append(text[at:begin])
+        removed, runs, at = removed + end - begin, runs + 1, end
     left.append(text[at:])
     return b"".join(left), runs, removed
 
@@ -154,24 +151,24 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     keyed = with_row_key(docs).join(spans, F.expr("_key_id = _span_id AND _key_text = _span_text"), "left")
     kept = [n for n in names if n != "text"]
     source = keyed.select(
-        F.col("text").alias("_in"), F.col("_spans.start").alias("_a"), F.col("_spans.size").alias("_b"), F.col("_spans.words").alias("_w"),
+        F.col("text").alias("_in"), F.col("_spans"),
         *[F.col(n).alias(f"_c{i}") for i, n in enumerate(kept)],
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts, runs, removed = batch.column(0).to_pylist(), [], []
-            lists = [batch.column(i).to_pylist() for i in (1, 2, 3)]
+            lists = batch.column(1).to_pylist()
             for i, text in enumerate(texts):
                 done = (0, 0)
-                if text and lists[0][i]:
-                    data, *done = _cut(text.encode(), lists[0][i], lists[1][i], lists[2][i])
+                if text and lists[i]:
+                    data, *done = _cut(text.encode(), lists[i])
                     texts[i] = data.decode() if done[0] else text
                 runs.append(done[0])
                 removed.append(done[1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()), pa.array(runs, pa.int32()), pa.array(removed, pa.int64()), *batch.columns[4:]],
-                names=["_text", "_runs", "_removed", *batch.schema.names[4:]],
+                [pa.array(texts, pa.string()), pa.array(runs, pa.int32()), pa.array(removed, pa.int64()), *batch.columns[2:]],
+                names=["_text", "_runs", "_removed", *batch.schema.names[2:]],
             )
 
     fields = ["_text string", "_runs int", "_removed bigint", *[f"_c{i} {docs.schema[n].dataType.simpleString()}" for i, n in enumerate(kept)]]

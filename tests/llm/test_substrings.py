@@ -56,9 +56,14 @@ def plain_duplicates(docs: dict[int, str]) -> dict[int, str]:
                 )
                 if words >= substrings.LEAST_WORDS or end - start >= substrings.LEAST_BYTES:
                     own.append(data[start:end])
+                    start_of_last = start
                     if own[-1] in seen:
                         gone[start:end] = True
                     break
+        if own:  # the last passage also up to the end
+            own.append(data[start_of_last:])
+            if own[-1] in seen:
+                gone[start_of_last:] = True
         seen.update(own)
         out[i] = bytes(np.frombuffer(data, np.uint8)[~gone]).decode()
     return out
