@@ -20,6 +20,8 @@ class EngineConfig:
     format or table connector; ``parquet`` needs nothing beyond Spark, ``delta`` its package.
     ``min_partitions`` has Kafka's few topic partitions read as so many offset ranges at least, so that
     neither their number nor a chatty device bounds the tasks of a batch.
+    ``bronze_files`` has a micro-batch leave at most so many Bronze files per event type, by a shuffle, where
+    a task would else leave one each. ``cluster_order`` and ``row_group_bytes`` lay out the serving tables.
     ``fan_out`` says how Silver and Alerts follow Bronze; one deployment keeps to one way, because a
     file table written by a stream lists its files in the stream's own log.
     """
@@ -35,6 +37,9 @@ class EngineConfig:
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     max_files_per_trigger: int | None = None
+    bronze_files: int | None = None
+    cluster_order: str = "linear"
+    row_group_bytes: int | None = None
     table_format: str = "parquet"
     bronze_every: str = "30 seconds"
     silver_every: str = "60 seconds"
@@ -52,6 +57,7 @@ class EngineConfig:
             ("alerts_from", ("bronze", "source")),
             ("fan_out", ("two_queries", "single_scan")),
             ("alert_tier", ("actionable", "critical")),
+            ("cluster_order", ("linear", "zorder")),
         ):
             if getattr(self, name) not in allowed:
                 raise ValueError(f"{name} must be one of {allowed}")
@@ -111,6 +117,14 @@ class EngineConfig:
     def serving(self, name: str) -> str:
         return self.table(f"serving/{name}")
 
+    @property
+    def layout_options(self) -> dict[str, str]:
+        """Writer options of batch tables: size of a row group, the unit that statistics skip."""
+        if self.table_format != "parquet" or not self.row_group_bytes:
+            return {}
+        size = str(self.row_group_bytes)
+        return {"parquet.block.size": size, "parquet.page.size": str(max(1024, self.row_group_bytes // 8))}
+
     def trigger(self, every: str) -> dict:
         """Keyword arguments of ``DataStreamWriter.trigger``."""
         return {"availableNow": True} if self.available_now else {"processingTime": every}

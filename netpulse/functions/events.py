@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from netpulse import domain
+from netpulse.functions.utc import utc_time
 
 # A number written with a fraction, e.g. "12.5"; group 1 is the whole part.
 _WHOLE_PART = r"^\s*([+-]?\d+)\.\d*\s*$"
@@ -30,7 +31,7 @@ def as_type(text: Column, kind: str) -> Column:
 
 def event_time(text: Column) -> Column:
     """ISO-8601 text (with or without offset or fraction) to a timestamp; null if unreadable."""
-    return text.try_cast("timestamp")
+    return utc_time(text)
 
 
 def _choose(branches: list[tuple[Column, object]], otherwise: object) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from netpulse import domain
 from netpulse.functions.events import event_time
+from netpulse.functions.utc import utc_date
 from netpulse.schemas import BRONZE, ENVELOPE_FIELDS, EVENT, RECORD_COLUMNS
 
 
@@ -23,7 +24,7 @@ def with_metadata(parsed: DataFrame) -> DataFrame:
     stamped = parsed.withColumns(
         {
             "_ingest_ts": F.current_timestamp(),
-            "_batch_date": F.current_date(),
+            "_batch_date": utc_date(F.current_timestamp()),
             "_source": F.lit(domain.SOURCE_LABEL),
             "event_ts": event_time(F.col("timestamp")),
         }

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from netpulse import domain
 from netpulse.functions import events as E
@@ -28,6 +29,7 @@ from netpulse.schemas import (
     DEVICE_HEALTH_KPIS,
     NETWORK_RELIABILITY,
     SECURITY_THREATS,
+    SILVER,
     Contract,
 )
 
@@ -101,6 +103,52 @@ def device_rollup(silver: DataFrame) -> DataFrame:
     return merge(contributions(silver), ROLLUP_KEYS)
 
 
+def rollup_schema() -> T.StructType:
+    """Columns of :func:`device_rollup` for readers of a stored one."""
+    kinds = {f.name: f.dataType for f in SILVER.fields}
+    out = T.StructType([T.StructField(name, kinds[name]) for name in ROLLUP_KEYS])
+    for name in _MERGES:
+        kind = "timestamp" if name in ("first_ts", "last_ts") else "long"
+        if name.endswith(("_sum", "_max")):
+            kind = "double"
+        out = out.add(name, kind)
+    return out
+
+
+# --- distinct counts that merge --------------------------------------------------------------------
+
+#: Keys of the sketched rollup: those of the device rollup without the device.
+SKETCH_KEYS = tuple(key for key in ROLLUP_KEYS if key != "device_id")
+#: Logarithm of a sketch's buckets; the standard error of a count is about 1.04 / sqrt(2 ** LG_K).
+LG_K = 12
+
+
+def sketch_rollup(parts: DataFrame, lg_k: int = LG_K) -> DataFrame:
+    """Contributions per hour and event class with a sketch of the devices in place of a row per device.
+
+    Its size does not depend on the number of devices, and hours merge to days, months or any
+    coarser keys by :func:`merge_sketches`, where distinct counts cannot be added.
+    """
+    measures = [combine(name).alias(name) for name, combine in _MERGES.items()]
+    return parts.groupBy(*SKETCH_KEYS).agg(*measures, F.hll_sketch_agg("device_id", lg_k).alias("device_sketch"))
+
+
+def merge_sketches(sketched: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+    """Sketched contributions merged by coarser ``keys``, with ``devices`` estimated from the union."""
+    measures = [combine(name).alias(name) for name, combine in _MERGES.items()]
+    union = F.hll_union_agg("device_sketch")
+    return sketched.groupBy(*keys).agg(*measures, F.hll_sketch_estimate(union).alias("devices"))
+
+
+def reliability_by(sketched: DataFrame, period: str = "month") -> DataFrame:
+    """Incident rate, availability and SLA verdict per place, device type and calendar period.
+
+    ``period`` is any unit of ``date_trunc``. ``device_count`` is an estimate; see :data:`LG_K`.
+    """
+    start = F.to_date(F.date_trunc(period, "event_date")).alias("period_start")
+    return _rated_reliability(merge_sketches(sketched, [start, *_PLACE]), ["period_start", *_PLACE])
+
+
 def _with_devices(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     per_device = merge(parts, [*keys, "device_id"])
     measures = [combine(name).alias(name) for name, combine in _MERGES.items()]
@@ -147,8 +195,22 @@ def alert_summary_from(parts: DataFrame) -> DataFrame:
 
 
 def network_reliability_from(parts: DataFrame) -> DataFrame:
-    daily = _with_devices(parts, NETWORK_RELIABILITY.keys).select(
-        *NETWORK_RELIABILITY.keys,
+    daily = _with_devices(parts, NETWORK_RELIABILITY.keys)
+    return _finish(_rated_reliability(daily, NETWORK_RELIABILITY.keys), NETWORK_RELIABILITY)
+
+
+def hourly_reliability_from(parts: DataFrame) -> DataFrame:
+    """:func:`network_reliability` per hour, with exact device counts."""
+    keys = ["event_date", "event_hour", *_PLACE]
+    return _rated_reliability(_with_devices(parts, keys), keys)
+
+
+_PLACE = ("location", "location_type", "device_type")
+
+
+def _rated_reliability(merged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    counted = merged.select(
+        *keys,
         F.col("events").alias("total_events"),
         F.col("incidents").alias("incident_count"),
         _mean("loss").alias("avg_packet_loss"),
@@ -158,8 +220,8 @@ def network_reliability_from(parts: DataFrame) -> DataFrame:
         F.col("actionable").alias("actionable_alerts"),
         kpi.incident_rate_pct(F.col("incidents"), F.col("events")).alias("incident_rate_pct"),
     )
-    rated = daily.withColumn("availability_pct", kpi.availability_pct(F.col("incident_rate_pct")))
-    return _finish(rated.withColumn("sla_met", kpi.sla_met(F.col("availability_pct"))), NETWORK_RELIABILITY)
+    rated = counted.withColumn("availability_pct", kpi.availability_pct(F.col("incident_rate_pct")))
+    return rated.withColumn("sla_met", kpi.sla_met(F.col("availability_pct")))
 
 
 def security_threats_from(parts: DataFrame) -> DataFrame:

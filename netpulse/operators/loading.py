@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from netpulse.schemas import Contract
 
@@ -30,8 +31,29 @@ def violations(contract: Contract) -> Column:
     return F.array_compact(F.array(*rules))
 
 
+#: Whether a checked row keeps its contract.
+ACCEPTED = "_accepted"
+
+
+def checked(gold: DataFrame, contract: Contract) -> DataFrame:
+    """Conformed rows with a ``violations`` array, empty for a valid row, and whether it is."""
+    judged = conform(gold, contract).withColumn("violations", violations(contract))
+    return judged.withColumn(ACCEPTED, F.size("violations") == 0)
+
+
+def checked_schema(contract: Contract) -> T.StructType:
+    return T.StructType([*contract.schema.fields]).add("violations", T.ArrayType(T.StringType())).add(ACCEPTED, "boolean")
+
+
+def valid(rows: DataFrame) -> DataFrame:
+    return rows.filter(ACCEPTED).drop("violations", ACCEPTED)
+
+
+def rejects(rows: DataFrame) -> DataFrame:
+    return rows.filter(f"NOT {ACCEPTED}").drop(ACCEPTED)
+
+
 def split_by_contract(gold: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """``(valid, rejects)`` of a Gold table; rejects carry a ``violations`` array. No row is lost."""
-    checked = conform(gold, contract).withColumn("violations", violations(contract))
-    is_valid = F.size("violations") == 0
-    return checked.filter(is_valid).drop("violations"), checked.filter(~is_valid)
+    rows = checked(gold, contract)
+    return valid(rows), rejects(rows)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from netpulse import domain
+from netpulse.functions.utc import utc_date
 
 
 class DataQualityError(ValueError):
@@ -28,22 +29,47 @@ def _moment(as_of: Column | datetime | None) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(as_of)
 
 
-def dq_checks(silver: DataFrame, as_of: Column | datetime | None = None) -> DataFrame:
-    """Failing rows per check, as ``(check, failed_rows)``."""
+def failing(as_of: Column | datetime | None = None) -> dict[str, Column]:
+    """The number of rows that fail each check, as aggregates."""
     severity = F.col("severity")
-    counts = {
+    conditions = {
         "null_event_ids": F.col("event_id").isNull(),
         "future_events": F.col("event_ts") > _moment(as_of),
         "invalid_severity": ~severity.isin(*domain.SEVERITIES),
         "null_severity": severity.isNull(),
     }
-    totals = silver.agg(*[F.count_if(condition).alias(name) for name, condition in counts.items()])
+    return {name: F.count_if(condition) for name, condition in conditions.items()}
+
+
+def dq_checks(silver: DataFrame, as_of: Column | datetime | None = None) -> DataFrame:
+    """Failing rows per check, as ``(check, failed_rows)``."""
+    counts = failing(as_of)
+    totals = silver.agg(*[count.alias(name) for name, count in counts.items()])
     return totals.unpivot([], list(counts), "check", "failed_rows")
 
 
+def watched(silver: DataFrame, as_of: Column | datetime | None = None) -> tuple[DataFrame, Observation]:
+    """``silver`` with its checks counted while it is written, instead of by a scan of their own.
+
+    Write the result, then take the counts with :func:`watched_checks`. Watch rows after their last
+    shuffle: a map task that runs again, for a lost executor, counts again.
+    """
+    seen = Observation()
+    return silver.observe(seen, *[count.alias(name) for name, count in failing(as_of).items()]), seen
+
+
+def watched_checks(spark: SparkSession, seen: Observation) -> DataFrame:
+    """:func:`dq_checks` of a watched write; waits until the write has run."""
+    return spark.createDataFrame(list(seen.get.items()), "check string, failed_rows bigint")
+
+
 def enforce(checks: DataFrame, names: tuple[str, ...] = ENFORCED) -> dict[str, int]:
     """All counts; raises :class:`DataQualityError` if an enforced one is positive."""
-    counts = {row["check"]: row["failed_rows"] for row in checks.collect()}
+    return enforced({row["check"]: row["failed_rows"] for row in checks.collect()}, names)
+
+
+def enforced(counts: dict[str, int], names: tuple[str, ...] = ENFORCED) -> dict[str, int]:
+    """``counts`` if no enforced one is positive; else raises :class:`DataQualityError`."""
     failed = {name: counts[name] for name in names if counts[name] > 0}
     if failed:
         raise DataQualityError(failed)
@@ -61,7 +87,7 @@ def within(column: str, as_of: Column | datetime | None, hours: float = 1) -> Co
 
 def dated_within(as_of: Column | datetime | None, hours: float = 1) -> Column:
     """Silver's partitions that can hold events of the ``hours`` up to ``as_of``."""
-    return F.col("event_date").between(F.to_date(_start(as_of, hours)), F.to_date(_moment(as_of)))
+    return F.col("event_date").between(utc_date(_start(as_of, hours)), utc_date(_moment(as_of)))
 
 
 def ingested_since(as_of: Column | datetime | None, hours: float = 1, slack_days: int = 1) -> Column:
@@ -69,7 +95,7 @@ def ingested_since(as_of: Column | datetime | None, hours: float = 1, slack_days
 
     A record is ingested after the topic received it; ``slack_days`` allows for clocks that disagree.
     """
-    return F.col("_batch_date") >= F.date_sub(F.to_date(_start(as_of, hours)), slack_days)
+    return F.col("_batch_date") >= F.date_sub(utc_date(_start(as_of, hours)), slack_days)
 
 
 def recent_records(bronze: DataFrame, as_of: Column | datetime | None = None, hours: float = 1) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from netpulse import domain
 from netpulse.functions import events as E
+from netpulse.functions.utc import utc_date, utc_hour, utc_weekday
 from netpulse.schemas import ALERTS, PAYLOAD_COLUMNS, SILVER
 
 
@@ -24,9 +25,9 @@ def enrich(df: DataFrame) -> DataFrame:
         {
             "severity_score": E.severity_score(col("severity")),
             "requires_action": E.requires_action(col("severity"), col("event_type"), col("link_state")),
-            "event_hour": F.hour("event_ts"),
-            "event_date": F.to_date("event_ts"),
-            "event_weekday": F.dayofweek("event_ts"),
+            "event_hour": utc_hour(col("event_ts")),
+            "event_date": utc_date(col("event_ts")),
+            "event_weekday": utc_weekday(col("event_ts")),
             "sla_breach_risk": E.sla_breach_risk(col("severity"), col("event_type")),
             "resource_anomaly": E.resource_anomaly(col("cpu_utilization_pct"), col("memory_utilization_pct")),
             "location_type": E.location_type(col("location")),

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from netpulse.functions import kpi
 from netpulse.functions.events import is_incident
 from netpulse.functions.numeric import percent, round_half_up
+from netpulse.functions.utc import utc_date
 
 
 def _as_date(as_of: Column | date | datetime | None) -> Column:
     if as_of is None:
-        return F.current_date()
-    return as_of.cast("date") if isinstance(as_of, Column) else F.lit(as_of).cast("date")
+        return utc_date(F.current_timestamp())
+    if isinstance(as_of, Column):
+        return as_of.cast("date")
+    return utc_date(F.lit(as_of)) if isinstance(as_of, datetime) else F.lit(as_of)
 
 
 def _mean(name: str, digits: int) -> Column:

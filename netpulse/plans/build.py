@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from netpulse.config import EngineConfig
 from netpulse.operators import gold, loading, quality
-from netpulse.plans.writing import DATE, balanced, clustered, on_dates, replace_partitions, replace_table
+from netpulse.plans.writing import DATE, balanced, clustered, on_dates, replace_dates, replace_table
 from netpulse.schemas import CONTRACTS, SILVER
 from netpulse.sources.tables import read_table, read_table_or_none
 
@@ -73,36 +73,55 @@ def load_serving(
     dates: Dates | None = None,
     tables: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Load Gold into the serving tables by contract; rows that break it go to a rejects table.
+    """Load Gold into the serving tables by contract; rows that break it are kept apart with their reasons.
 
-    Re-running a load replaces the dates it covers, so it never duplicates rows.
+    Re-running a load replaces the dates it covers, so it never duplicates rows and leaves none behind.
     """
     for name in tables or CONTRACTS:
         contract = CONTRACTS[name]
         source = _on(read_gold_table(spark, cfg, name), dates)
-        valid, rejected = loading.split_by_contract(source, contract)
-        _store(clustered(valid, contract), cfg, cfg.serving(name), dates)
-        _store(rejected, cfg, rejects_path(cfg, name), dates)
+        checked = loading.checked(source, contract)
+        ordered = clustered(checked, contract, cfg.cluster_order, (loading.ACCEPTED,))
+        _store(ordered, cfg, checked_path(cfg, name), dates)
     return {name: read_serving(spark, cfg, name) for name in tables or CONTRACTS}
 
 
-def rejects_path(cfg: EngineConfig, name: str) -> str:
-    return cfg.table(f"serving_rejects/{name}")
+def checked_path(cfg: EngineConfig, name: str) -> str:
+    """Where the rows of a contract lie, valid and refused ones together.
+
+    One write per date replaces both, so a row that changes sides is never on both or on none.
+    """
+    return cfg.serving(name)
 
 
 def read_serving(spark: SparkSession, cfg: EngineConfig, name: str) -> DataFrame:
-    return read_table(spark, cfg, cfg.serving(name), CONTRACTS[name].schema)
+    rows = read_table(spark, cfg, checked_path(cfg, name), loading.checked_schema(CONTRACTS[name]))
+    return loading.valid(rows)
+
+
+def read_rejects(spark: SparkSession, cfg: EngineConfig, name: str) -> DataFrame:
+    """Refused rows with a ``violations`` array."""
+    rows = read_table(spark, cfg, checked_path(cfg, name), loading.checked_schema(CONTRACTS[name]))
+    return loading.rejects(rows)
 
 
 def create_serving_tables(spark: SparkSession, cfg: EngineConfig, database: str = "serving") -> list[str]:
-    """Catalog entries with declared columns over the serving folders; returns their names."""
+    """Catalog views with the declared columns over the valid rows; returns their names.
+
+    Below each lies a table ``<name>_checked`` over the folder, which also has the refused rows.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = []
     for name, contract in CONTRACTS.items():
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in contract.schema)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in loading.checked_schema(contract))
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {database}.{name}_checked ({columns}) USING {cfg.table_format} "
+            f"PARTITIONED BY ({DATE}) LOCATION '{checked_path(cfg, name)}'"
+        )
+        declared = ", ".join(contract.schema.names)
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING {cfg.table_format} "
-            f"PARTITIONED BY ({DATE}) LOCATION '{cfg.serving(name)}'"
+            f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {declared} FROM {database}.{name}_checked "
+            f"WHERE {loading.ACCEPTED}"
         )
         names.append(f"{database}.{name}")
     refresh_serving_tables(spark, names, cfg)
@@ -114,7 +133,7 @@ def refresh_serving_tables(spark: SparkSession, names: Sequence[str], cfg: Engin
     if cfg.table_format == "delta":
         return
     for name in names:
-        spark.catalog.recoverPartitions(name)
+        spark.sql(f"MSCK REPAIR TABLE {name}_checked SYNC PARTITIONS")
 
 
 def _on(df: DataFrame, dates: Dates | None) -> DataFrame:
@@ -125,4 +144,4 @@ def _store(df: DataFrame, cfg: EngineConfig, path: str, dates: Dates | None) ->
     if dates is None:
         replace_table(df, cfg, path)
     else:
-        replace_partitions(df, cfg, path)
+        replace_dates(df, cfg, path, dates)

@@ -32,15 +32,13 @@ _ANY_METHOD_SIZE, _COMPILED_METHOD_SIZE = "65535", "5000"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings results and speed depend on; called by every entry point.
+    """A session setting that speed depends on; called by every entry point. The session's zone is left
+    alone: dates and hours are UTC by their expressions.
 
-    Event dates and hours are UTC by contract, whatever zone the session started with. Projections
-    as wide as Silver's become one long method under whole-stage code generation, which the JVM
-    compiles late or not at all (measured: three times slower); above the limit Spark generates
-    many small methods instead. A limit chosen by the user stays.
+    Projections as wide as Silver's become one long method under whole-stage code generation, which
+    the JVM compiles late or not at all (measured: three times slower); above the limit Spark
+    generates many small methods instead. A limit chosen by the user stays.
     """
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
     if spark.conf.get("spark.sql.codegen.hugeMethodLimit") == _ANY_METHOD_SIZE:
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", _COMPILED_METHOD_SIZE)
     return spark

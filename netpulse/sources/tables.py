@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 from netpulse.config import EngineConfig
 
 
+#: Files that a micro-batch over a layer table takes where the configuration does not say.
+FILES_PER_BATCH = 1000
+
+
 def read_table(spark: SparkSession, cfg: EngineConfig, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A layer table: the columns of ``schema``, with nothing inferred from files.
 
@@ -37,8 +41,7 @@ def read_table_or_none(
 def stream_table(spark: SparkSession, cfg: EngineConfig, path: str, schema: T.StructType) -> DataFrame:
     """New rows of an append-only layer table as they are committed."""
     reader = spark.readStream.format(cfg.table_format)
-    if cfg.max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
+    reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger or FILES_PER_BATCH)
     if cfg.table_format == "delta":
         reader = reader.option("ignoreChanges", "true")
     else:

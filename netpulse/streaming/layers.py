@@ -14,14 +14,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from netpulse.config import EngineConfig
 from netpulse.operators.bronze import rejects, to_bronze
-from netpulse.operators.silver import enriched, select_alerts, to_alerts, to_silver
+from netpulse.operators.silver import enriched, select_alerts
+from netpulse.plans.writing import replace_table
 from netpulse.schemas import ALERTS, BRONZE, SILVER
 from netpulse.session import prepare
+from netpulse.sources import folders
 from netpulse.sources.records import stream_records
 from netpulse.sources.tables import stream_table
+from netpulse.streaming.commits import BATCH, Output, start_committed
 
 BRONZE_PARTITIONS = ("_batch_date", "event_type")
 SILVER_PARTITIONS = ("event_date", "severity")
+ALERT_PARTITIONS = ("event_date",)
 
 
 #: The last query that this process started on each checkpoint.
@@ -31,9 +35,11 @@ _LIVE: dict[str, StreamingQuery] = {}
 def start_bronze(spark: SparkSession, cfg: EngineConfig, records: DataFrame | None = None) -> StreamingQuery:
     """Records to Bronze. ``cfg.quarantine`` keeps unreadable records out (see :func:`start_rejects`)."""
     source = stream_records(prepare(spark), cfg) if records is None else records
-    return append_stream(
-        to_bronze(source, drop_rejects=cfg.quarantine), cfg, "bronze", cfg.bronze, cfg.bronze_every, BRONZE_PARTITIONS
-    )
+    rows = to_bronze(source, drop_rejects=cfg.quarantine)
+    if cfg.bronze_files:
+        spread = F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.lit(cfg.bronze_files))
+        rows = rows.repartition(*BRONZE_PARTITIONS, spread)
+    return append_stream(rows, cfg, "bronze", cfg.bronze, cfg.bronze_every, BRONZE_PARTITIONS)
 
 
 def start_rejects(spark: SparkSession, cfg: EngineConfig, records: DataFrame | None = None) -> StreamingQuery:
@@ -42,9 +48,20 @@ def start_rejects(spark: SparkSession, cfg: EngineConfig, records: DataFrame | N
     return append_stream(rejects(source), cfg, "rejects", cfg.rejects, cfg.bronze_every)
 
 
+def _silver(cfg: EngineConfig) -> Output:
+    return Output("silver", cfg.silver, lambda batch: batch.select(*SILVER.names), SILVER_PARTITIONS)
+
+
+def _alerts(cfg: EngineConfig) -> Output:
+    def rows(batch: DataFrame) -> DataFrame:
+        return select_alerts(batch, cfg.alert_tier).select(*ALERTS.names)
+
+    return Output("alerts", cfg.alerts, rows, ALERT_PARTITIONS)
+
+
 def start_silver(spark: SparkSession, cfg: EngineConfig) -> StreamingQuery:
     bronze = stream_table(prepare(spark), cfg, cfg.bronze, BRONZE)
-    return append_stream(to_silver(bronze), cfg, "silver", cfg.silver, cfg.silver_every, SILVER_PARTITIONS)
+    return _started(start_committed(enriched(bronze), cfg, "silver", cfg.silver_every, [_silver(cfg)]), cfg, "silver")
 
 
 def start_alerts(spark: SparkSession, cfg: EngineConfig, records: DataFrame | None = None) -> StreamingQuery:
@@ -58,30 +75,27 @@ def start_alerts(spark: SparkSession, cfg: EngineConfig, records: DataFrame | No
         bronze = to_bronze(stream_records(spark, cfg) if records is None else records, drop_rejects=cfg.quarantine)
     else:
         bronze = stream_table(spark, cfg, cfg.bronze, BRONZE)
-    return append_stream(to_alerts(bronze, cfg.alert_tier), cfg, "alerts", cfg.alerts, cfg.alerts_every)
+    return _started(start_committed(enriched(bronze), cfg, "alerts", cfg.alerts_every, [_alerts(cfg)]), cfg, "alerts")
 
 
 def start_silver_and_alerts(spark: SparkSession, cfg: EngineConfig) -> StreamingQuery:
-    """Both layers from one scan of Bronze, for loads where reading it twice costs more than latency.
-
-    A micro-batch is written into partitions that carry its batch id. If a batch is replayed after a
-    failure it overwrites exactly those partitions, so rows are neither lost nor doubled.
-    """
+    """Both layers from one scan of Bronze, for loads where reading it twice costs more than latency."""
     bronze = stream_table(prepare(spark), cfg, cfg.bronze, BRONZE)
+    name, outputs = "silver_and_alerts", [_silver(cfg), _alerts(cfg)]
+    return _started(start_committed(enriched(bronze), cfg, name, cfg.alerts_every, outputs), cfg, name)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("_batch_id", F.lit(batch_id)).persist()
-        try:
-            _replace_batch(rows.select(*SILVER.names, "_batch_id"), cfg, cfg.silver, (*SILVER_PARTITIONS, "_batch_id"))
-            alerts = select_alerts(rows, cfg.alert_tier)
-            _replace_batch(alerts.select(*ALERTS.names, "_batch_id"), cfg, cfg.alerts, ("_batch_id",))
-        finally:
-            rows.unpersist()
 
-    checkpoint = cfg.checkpoint("silver_and_alerts")
-    writer = enriched(bronze).writeStream.option("checkpointLocation", checkpoint)
-    _LIVE[checkpoint] = writer.trigger(**cfg.trigger(cfg.alerts_every)).foreachBatch(write).start()
-    return _LIVE[checkpoint]
+def clear_enriched(spark: SparkSession, cfg: EngineConfig) -> None:
+    """Empty Silver and Alerts and forget their batches, so that a new checkpoint may fill them from Bronze.
+
+    For a lost checkpoint: its batches cannot be told from those of a new one, so a query with a new
+    checkpoint is refused until the tables are cleared.
+    """
+    for output, schema in ((_silver(cfg), SILVER), (_alerts(cfg), ALERTS)):
+        if folders.exists(spark, output.path):
+            empty = spark.createDataFrame([], schema).withColumn(BATCH, F.lit(0))
+            replace_table(empty, cfg, output.path, (*output.partition_by, BATCH))
+        folders.remove(spark, cfg.table(f"ledger/{output.name}"))
 
 
 def start_enriched(spark: SparkSession, cfg: EngineConfig) -> list[StreamingQuery]:
@@ -131,8 +145,14 @@ def append_stream(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    _LIVE[cfg.checkpoint(name)] = writer.start(path)
-    return _LIVE[cfg.checkpoint(name)]
+    return _started(writer.start(path), cfg, name)
+
+
+def _started(query: StreamingQuery, cfg: EngineConfig, name: str) -> StreamingQuery:
+    for checkpoint in [place for place, other in _LIVE.items() if not other.isActive]:
+        del _LIVE[checkpoint]
+    _LIVE[cfg.checkpoint(name)] = query
+    return query
 
 
 def drain(*queries: StreamingQuery) -> None:
@@ -140,13 +160,3 @@ def drain(*queries: StreamingQuery) -> None:
     waiting = list(queries)
     while waiting:
         waiting = [query for query in waiting if not query.awaitTermination(1)]
-
-
-def _replace_batch(df: DataFrame, cfg: EngineConfig, path: str, partition_by: Sequence[str]) -> None:
-    (
-        df.write.format(cfg.table_format)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .save(path)
-    )

@@ -9,25 +9,35 @@ from netpulse import domain
 from netpulse.functions import events as E
 from netpulse.functions import kpi
 from netpulse.functions.numeric import ratio
-from netpulse.operators.gold import contributions, merge
+from netpulse.operators.gold import ROLLUP_KEYS, contributions, merge
 from netpulse.operators.silver import event_identity
 
 
 def deduplicate_stream(events: DataFrame, delay: str = "1 hour", spread: int = 16) -> DataFrame:
-    """One row per event id among copies that arrive within ``delay``. Rows without id all stay.
+    """One row per event id among copies that arrive within ``delay`` of the first.
 
-    Copies are first reduced per (id, slice of the record offset) and then per id. An id repeated
-    across much of the stream is thereby handled by ``spread`` tasks before it meets in one.
+    Ids are remembered by arrival, the clock of the micro-batch, which every row of a batch shares and
+    which never goes back: so no row is late and none is lost, however old its event time or if it has
+    none, and state is bounded by what arrives within ``delay``. Rows without id are told apart by
+    their record coordinates. Copies are first reduced per (id, slice of the record offset) and then
+    per id; an id repeated across much of the stream is thereby handled by ``spread`` tasks before
+    it meets in one.
     """
     keyed = events.withColumns(
-        {"_identity": event_identity(), "_slice": F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.lit(spread))}
+        {
+            "_identity": event_identity(),
+            "_slice": F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.lit(spread)),
+            "_arrival": F.current_timestamp(),
+        }
     )
-    sliced = keyed.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["_identity", "_slice"])
-    return sliced.dropDuplicatesWithinWatermark(["_identity"]).drop("_identity", "_slice")
+    sliced = keyed.withWatermark("_arrival", delay).dropDuplicatesWithinWatermark(["_identity", "_slice"])
+    return sliced.dropDuplicatesWithinWatermark(["_identity"]).drop("_identity", "_slice", "_arrival")
 
 
 def windowed_device_health(silver: DataFrame, delay: str = "1 hour", length: str = "1 hour") -> DataFrame:
-    """Device health per tumbling window; a window is emitted once the watermark has passed its end."""
+    """Device health per tumbling window. In update mode a window comes out with every change, in append
+    mode once the watermark has passed its end. Events beyond the watermark and undated ones are left
+    to the batch tables."""
     readings = silver.filter(F.col("event_type") == domain.DEVICE_HEALTH)
     # An event's first_ts contribution is its own time, so it also places the event in a window.
     parts = contributions(readings.withWatermark("event_ts", delay)).withColumn("window", F.window("first_ts", length))
@@ -56,6 +66,15 @@ def windowed_device_health(silver: DataFrame, delay: str = "1 hour", length: str
     )
 
 
+def live_rollup(silver: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """The device rollup of :mod:`netpulse.operators.gold` as a stream, for update mode: every row is the
+    state of a device, hour and event class so far. All Gold tables follow from it in batch, with
+    exact distinct counts. State is one row per key and hour until the watermark has passed the hour."""
+    parts = contributions(silver.withWatermark("event_ts", delay))
+    hours = parts.withColumn("window", F.window("first_ts", "1 hour"))
+    return merge(hours, ["window", *ROLLUP_KEYS]).drop("window")
+
+
 def windowed_reliability(silver: DataFrame, delay: str = "1 hour", length: str = "1 hour") -> DataFrame:
     """Incident rate and SLA verdict per tumbling window. ``device_count`` is approximate here: an
     exact distinct count is not available on a stream and stays with the batch tables."""

@@ -43,10 +43,13 @@ def test_shared_root_is_the_checkpoint_folder_of_the_session(spark):
     assert one != two and one.startswith(shared_root(spark))
 
 
-def test_prepare_sets_zone_and_method_limit_but_keeps_a_chosen_limit(spark):
+def test_prepare_sets_the_method_limit_but_keeps_a_chosen_one_and_the_zone(spark):
     key = "spark.sql.codegen.hugeMethodLimit"
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-    assert prepare(spark).conf.get("spark.sql.session.timeZone") == "UTC"
+    try:
+        assert prepare(spark).conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert spark.conf.get(key) == "5000"
     spark.conf.set(key, "7000")
     assert prepare(spark).conf.get(key) == "7000"

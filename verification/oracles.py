@@ -32,12 +32,7 @@ placed AS (
     CASE WHEN i < 20 THEN 'Switch' WHEN i < 30 THEN 'Router' ELSE 'Firewall' END AS device_type,
     (['DC-East', 'DC-West', 'Branch-NY', 'Branch-LA', 'Branch-CHI'])
       [CASE WHEN i < 20 THEN i % 5 WHEN i < 30 THEN i % 3 ELSE i % 2 END + 1] AS location,
-    CASE WHEN i < 20 THEN (['Cisco', 'Juniper', 'Arista'])[i % 3 + 1]
-         WHEN i < 30 THEN 'Cisco'
-         ELSE (['Cisco', 'Palo Alto', 'Fortinet'])[i % 3 + 1] END AS vendor,
-    CASE WHEN i < 20 THEN (['Catalyst 9300', 'EX4300', '7050CX3'])[i % 3 + 1]
-         WHEN i < 30 THEN (['ASR 1001', 'ISR 4431', 'CSR 1000V'])[i % 3 + 1]
-         ELSE (['ASA 5506', 'PA-220', 'FortiGate 60F'])[i % 3 + 1] END AS model
+    (['Norrland', 'Alpenet', 'Quayside'])[i % 3 + 1] AS vendor, 'M' || (100 + i % 7) AS model
   FROM seed
 ),
 calm AS (SELECT *, dd % 7 = 0 AND location LIKE 'DC%' AS quiet FROM placed),
@@ -51,7 +46,7 @@ readings AS (
          THEN CAST(3000 + h3 % (CASE WHEN quiet THEN 1400 ELSE 5501 END) AS DOUBLE) / 100 END AS temp,
     CASE WHEN event_type = 'device_health' THEN 3600 + h2 * 31 END AS uptime_seconds,
     CASE WHEN event_type IN ('interface_stats', 'link_state')
-         THEN 'GigabitEthernet' || (h1 % 4) || '/' || (h2 % 25) END AS interface_name,
+         THEN 'port-' || (h1 % 4) || '/' || (h2 % 25) END AS interface_name,
     CASE WHEN event_type = 'interface_stats'
          THEN CAST(h1 % (CASE WHEN quiet THEN 4000 ELSE 15001 END) AS DOUBLE) / 1000 END AS loss,
     CASE WHEN event_type = 'interface_stats'
@@ -66,10 +61,13 @@ readings AS (
     CASE WHEN event_type = 'security_alert' THEN '10.0.' || (h2 % 11) || '.' || (1 + h3 % 254) END AS destination_ip,
     CASE WHEN event_type = 'security_alert' THEN (['TCP', 'UDP', 'ICMP'])[dd % 3 + 1] END AS protocol,
     CASE WHEN event_type = 'security_alert' THEN 100 + h3 % 99901 END AS packet_count,
+    CASE WHEN event_type = 'security_alert' THEN 1 + h1 % 65535 END AS port,
+    CASE WHEN event_type = 'interface_stats' THEN h2 % 51 END AS errors_in,
+    CASE WHEN event_type = 'interface_stats' THEN h3 % 51 END AS errors_out,
     CASE WHEN event_type = 'link_state'
          THEN CASE WHEN quiet OR k < 85 THEN 'up' WHEN k < 95 THEN 'down' ELSE 'flapping' END END AS link_state,
     CASE WHEN event_type = 'link_state'
-         THEN (['admin_shutdown', 'cable_unplugged', 'negotiation_failure', 'auto'])[h2 % 4 + 1] END AS link_down_reason
+         THEN (['operator_action', 'fiber_cut', 'speed_mismatch', 'power_loss'])[h2 % 4 + 1] END AS link_down_reason
   FROM calm
 ),
 telemetry AS (
@@ -88,7 +86,7 @@ telemetry AS (
     cpu, mem, temp, uptime_seconds, interface_name, loss, bandwidth, bytes_in, bytes_out, alert_type, source_ip,
     destination_ip, protocol, packet_count, link_state,
     CASE WHEN link_state = 'up' THEN 'down' WHEN link_state IS NOT NULL THEN 'up' END AS previous_state,
-    link_down_reason, device_id AS kafka_key, CAST(i % 3 AS INTEGER) AS kafka_partition, event_id AS kafka_offset,
+    link_down_reason, port, errors_in, errors_out, device_id AS kafka_key, CAST(i % 3 AS INTEGER) AS kafka_partition, event_id AS kafka_offset,
     ts AS kafka_timestamp
   FROM readings
 )"""
@@ -222,9 +220,30 @@ DERIVED = """severity_score, requires_action, event_hour, event_date, event_week
   resource_anomaly, location_type"""
 SILVER_COLUMNS = f"kafka_timestamp, {ENVELOPE}, event_ts, {FLAT}, {DERIVED}"
 ALERT_COLUMNS = f"{COORDINATES}, 'kafka' AS _source, {ENVELOPE}, event_ts, {FLAT}, {DERIVED}"
+PAYLOAD = {
+    "cpu_utilization_pct": "cpu",
+    "memory_utilization_pct": "mem",
+    "temperature_celsius": "temp",
+    "uptime_seconds": "uptime_seconds",
+    "interface": "interface_name",
+    "packet_loss_pct": "loss",
+    "bandwidth_utilization": "bandwidth",
+    "bytes_in": "bytes_in",
+    "bytes_out": "bytes_out",
+    "errors_in": "errors_in",
+    "errors_out": "errors_out",
+    "alert_type": "alert_type",
+    "source_ip": "source_ip",
+    "destination_ip": "destination_ip",
+    "port": "port",
+    "protocol": "protocol",
+    "packet_count": "packet_count",
+    "state": "link_state",
+    "previous_state": "previous_state",
+    "reason": "link_down_reason",
+}
 BRONZE_COLUMNS = f"""{COORDINATES}, {ENVELOPE}, 'kafka' AS _source, event_ts,
-  CAST(cpu AS VARCHAR) AS payload_cpu, CAST(loss AS VARCHAR) AS payload_loss, alert_type AS payload_alert_type,
-  link_state AS payload_state,
+  {", ".join(f"CAST({column} AS VARCHAR) AS payload_{key}" for key, column in PAYLOAD.items())},
   CAST(CASE event_type WHEN 'device_health' THEN 4 WHEN 'interface_stats' THEN 7 WHEN 'security_alert' THEN 6
        ELSE 4 END AS INTEGER) AS payload_size"""
 
@@ -254,6 +273,15 @@ _CRITICAL_24H = """SELECT event_date, event_type, severity, location, device_typ
 FROM alert_days
 WHERE severity IN ('CRITICAL', 'ERROR') AND event_date >= CAST((SELECT max(ts) FROM events) AS DATE) - 1"""
 
+DQ_SQL = _sql(
+    """SELECT 'null_event_ids' AS "check", count(*) FILTER (event_id IS NULL) AS failed_rows FROM silver
+    UNION ALL SELECT 'future_events', count(*) FILTER (event_ts > (SELECT max(ts) FROM events) - INTERVAL 1 DAY)
+      FROM silver
+    UNION ALL SELECT 'invalid_severity', count(*) FILTER (severity NOT IN ('INFO', 'WARNING', 'ERROR', 'CRITICAL'))
+      FROM silver
+    UNION ALL SELECT 'null_severity', count(*) FILTER (severity IS NULL) FROM silver"""
+)
+
 ORACLES: dict[str, str] = {
     # Bronze
     "bronze_parse": BRONZE_SQL,
@@ -282,7 +310,12 @@ ORACLES: dict[str, str] = {
     "gold_network_reliability": RELIABILITY_SQL,
     "gold_security_threats": THREATS_SQL,
     "gold_write_roundtrip": RELIABILITY_SQL,
+    "gold_write_health": HEALTH_SQL,
+    "gold_write_alerts": ALERTS_SQL,
+    "gold_write_threats": THREATS_SQL,
     "gold_incremental_equals_full": ALERTS_SQL,
+    "hourly_incremental_reliability": RELIABILITY_SQL,
+    "hourly_incremental_health": HEALTH_SQL,
     "gold_audit": _sql(
         """SELECT 'device_health_kpis' AS table_name, count(*) AS row_count FROM health
         UNION ALL SELECT 'alert_summary', count(*) FROM alert_days
@@ -365,14 +398,8 @@ ORACLES: dict[str, str] = {
         "reliability",
     ),
     # Quality, gates, digest
-    "dq_checks": _sql(
-        """SELECT 'null_event_ids' AS "check", count(*) FILTER (event_id IS NULL) AS failed_rows FROM silver
-        UNION ALL SELECT 'future_events', count(*) FILTER (event_ts > (SELECT max(ts) FROM events) - INTERVAL 1 DAY)
-          FROM silver
-        UNION ALL SELECT 'invalid_severity', count(*) FILTER (severity NOT IN ('INFO', 'WARNING', 'ERROR', 'CRITICAL'))
-          FROM silver
-        UNION ALL SELECT 'null_severity', count(*) FILTER (severity IS NULL) FROM silver"""
-    ),
+    "dq_checks": DQ_SQL,
+    "dq_checks_observed": DQ_SQL,
     "gate_critical_alerts": _sql(
         f"""SELECT count(*) AS critical_alerts FROM silver
         WHERE requires_action AND severity = 'CRITICAL' AND {LAST_HOUR.format('event_ts')}"""
@@ -393,10 +420,7 @@ ORACLES: dict[str, str] = {
         "reliability",
     ),
     # Streams: same rows as the batch functions
-    "stream_source_kafka_shape": _sql(
-        """SELECT kafka_key AS "key", 'network-events' AS topic, kafka_partition AS "partition",
-        kafka_offset AS "offset", kafka_timestamp AS "timestamp" FROM telemetry"""
-    ),
+    "stream_source_kafka_shape": BRONZE_SQL,
     "stream_bronze": BRONZE_SQL,
     "stream_silver": SILVER_SQL,
     "stream_alerts": _sql(f"SELECT {ALERT_COLUMNS} FROM silver WHERE requires_action"),
@@ -405,6 +429,7 @@ ORACLES: dict[str, str] = {
         """SELECT event_date, event_type, count(*) AS stream_rows, count(*) AS batch_rows, TRUE AS same_rows
         FROM silver GROUP BY event_date, event_type"""
     ),
+    "stream_progress": "SELECT 0::BIGINT AS batch_id, count(*) AS input_rows FROM events",
     # Extensions
     "ext_dedup_events": SILVER_SQL,
     "ext_dedup_stream": SILVER_SQL,
@@ -418,12 +443,19 @@ ORACLES: dict[str, str] = {
         f"""SELECT CAST(event_date AS TIMESTAMP) + to_hours(event_hour) AS window_start,
         CAST(event_date AS TIMESTAMP) + to_hours(event_hour + 1) AS window_end,
         {HEALTH_COLUMNS.replace("event_date, event_hour,", "")}
-        FROM health
-        WHERE CAST(event_date AS TIMESTAMP) + to_hours(event_hour + 1) <=
-          date_trunc('milliseconds', (SELECT max(event_ts) FROM silver WHERE event_type = 'device_health'))
-          - INTERVAL 1 HOUR""",
+        FROM health""",
         "health",
     ),
+    "ext_windowed_reliability": _sql(
+        f"SELECT event_hour, {RELIABILITY_COLUMNS} FROM reliability", "reliability"
+    ).replace("device_type, event_date, count", "device_type, event_date, event_hour, count"),
+    "ext_live_gold_alerts": ALERTS_SQL,
+    "ext_live_gold_threats": THREATS_SQL,
+    "gold_reliability_monthly": _sql(
+        f"""SELECT CAST(date_trunc('month', event_date) AS DATE) AS period_start,
+        {RELIABILITY_COLUMNS.replace("event_date, ", "")} FROM reliability""",
+        "reliability",
+    ).replace("device_type, event_date, count", "device_type, date_trunc('month', event_date) AS event_date, count"),
     "ext_sla_by_location": _sql(
         f"""SELECT event_date, CAST(count(*) FILTER (met) AS BIGINT) AS locations_meeting_sla,
         count(*) AS total_locations,

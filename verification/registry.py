@@ -20,13 +20,14 @@ from netpulse.operators import bronze as B
 from netpulse.operators import gold, loading, quality
 from netpulse.operators import silver as S
 from netpulse.operators import views as V
-from netpulse.plans import build
+from netpulse.plans import build, hourly
 from netpulse.plans.writing import replace_table
 from netpulse.session import fresh_folder, use_disk_state, prepare
 from netpulse.sources import records as R
-from netpulse.sources import telemetry as X
 from netpulse.sources.tables import read_table
-from netpulse.streaming import layers, progress, stateful
+from netpulse.streaming import layers, progress, stateful, upserts
+from verification import telemetry as X
+from verification.oracles import PAYLOAD
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +35,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # results are compared as UTC wall time
         return comparable(fn(prepare(spark), sf_dir))
 
     QUERIES[fn.__name__] = run
@@ -84,16 +86,10 @@ def workspace(spark: SparkSession, label: str, **settings) -> EngineConfig:
 
 
 def spread_payload(bronze_rows: DataFrame) -> DataFrame:
-    """Bronze with the payload map as a few text columns and its size (maps cannot be compared)."""
-    keys = {
-        "cpu_utilization_pct": "payload_cpu",
-        "packet_loss_pct": "payload_loss",
-        "alert_type": "payload_alert_type",
-        "state": "payload_state",
-    }
+    """Bronze with the payload map as one text column per key, and its size (maps cannot be compared)."""
     return bronze_rows.select(
         *[name for name in bronze_rows.columns if name != "payload"],
-        *[F.col("payload")[key].alias(column) for key, column in keys.items()],
+        *[F.col("payload")[key].alias(f"payload_{key}") for key in PAYLOAD],
         F.size("payload").alias("payload_size"),
     )
 
@@ -216,6 +212,31 @@ def gold_write_roundtrip(spark, sf_dir):
     return reliability_rounded(build.build_gold(spark, cfg)["network_reliability"])
 
 
+def _built(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return build.build_gold(spark, stored_silver(spark, sf_dir, f"gold-{name}"))[name]
+
+
+@query
+def gold_write_health(spark, sf_dir):
+    return health_rounded(_built(spark, sf_dir, "device_health_kpis"))
+
+
+@query
+def gold_write_alerts(spark, sf_dir):
+    return _built(spark, sf_dir, "alert_summary")
+
+
+@query
+def gold_write_threats(spark, sf_dir):
+    return _built(spark, sf_dir, "security_threats")
+
+
+@query
+def gold_reliability_monthly(spark, sf_dir):
+    """Months from hourly sketches; so few devices are counted exactly."""
+    return reliability_rounded(gold.reliability_by(gold.sketch_rollup(gold.contributions(silver(spark, sf_dir)))))
+
+
 @query
 def gold_audit(spark, sf_dir):
     cfg = stored_silver(spark, sf_dir, "audit")
@@ -239,6 +260,31 @@ def gold_incremental_equals_full(spark, sf_dir):
     return build.build_gold(spark, cfg, dates)["alert_summary"]
 
 
+def _hourly(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Two hourly runs; between them a topic partition delivers what it held back, for many past dates.
+    The second run finds the dates in the ledger of committed batches."""
+    landing = fresh_folder(spark, "landing")
+    cfg = workspace(spark, "hourly", record_source="files", records_path=landing)
+    rows, held_back = records(spark, sf_dir), (F.col("partition") == 2) & (F.dayofmonth("timestamp") < 28)
+    as_of = last_event(spark, sf_dir)
+    for part in (rows.filter(~held_back), rows.filter(held_back)):
+        part.write.mode("append").parquet(landing)
+        layers.drain(layers.start_bronze(spark, cfg))
+        report = hourly.run_hourly(spark, cfg, as_of)
+    assert report.dates is not None
+    return build.read_gold_table(spark, cfg, name)
+
+
+@query
+def hourly_incremental_reliability(spark, sf_dir):
+    return reliability_rounded(_hourly(spark, sf_dir, "network_reliability"))
+
+
+@query
+def hourly_incremental_health(spark, sf_dir):
+    return health_rounded(_hourly(spark, sf_dir, "device_health_kpis"))
+
+
 # --- aggregate functions ----------------------------------------------------------------------------
 
 
@@ -351,6 +397,15 @@ def dq_checks(spark, sf_dir):
     return quality.dq_checks(silver(spark, sf_dir), last_event(spark, sf_dir) - timedelta(days=1))
 
 
+@query
+def dq_checks_observed(spark, sf_dir):
+    """:func:`dq_checks`, counted while Silver is written."""
+    rows, seen = quality.watched(silver(spark, sf_dir), last_event(spark, sf_dir) - timedelta(days=1))
+    cfg = workspace(spark, "watched")
+    replace_table(rows, cfg, cfg.silver, layers.SILVER_PARTITIONS)
+    return quality.watched_checks(spark, seen)
+
+
 @query
 def gate_critical_alerts(spark, sf_dir):
     return quality.recent_critical(alerts(spark, sf_dir), last_event(spark, sf_dir))
@@ -415,8 +470,7 @@ def stream_source_kafka_shape(spark, sf_dir):
     records(spark, sf_dir).write.parquet(landing)
     cfg = workspace(spark, "source", record_source="files", records_path=landing)
     layers.drain(layers.append_stream(R.stream_records(spark, cfg), cfg, "copy", cfg.table("copy"), cfg.bronze_every))
-    copied = read_table(spark, cfg, cfg.table("copy"), schemas.KAFKA_RECORD)
-    return copied.select(F.col("key").cast("string").alias("key"), "topic", "partition", "offset", "timestamp")
+    return spread_payload(B.to_bronze(read_table(spark, cfg, cfg.table("copy"), schemas.KAFKA_RECORD)))
 
 
 @query
@@ -471,9 +525,15 @@ def stream_equals_batch(spark, sf_dir):
 @query
 def stream_progress(spark, sf_dir):
     cfg = workspace(spark, "progress")
-    running = layers.start_bronze(spark, cfg, record_stream(spark, sf_dir))
-    layers.drain(running)
-    return progress.progress_rows(spark, running)
+    log = progress.ProgressTable(spark, cfg.table("progress"))
+    spark.streams.addListener(log)
+    try:
+        running = layers.start_bronze(spark, cfg, record_stream(spark, sf_dir))
+        layers.drain(running)
+        log.settle()
+    finally:
+        spark.streams.removeListener(log)
+    return log.rows(str(running.id)).select("batch_id", "input_rows")
 
 
 # --- extensions ------------------------------------------------------------------------------------------------
@@ -515,12 +575,37 @@ def ext_critical_alerts(spark, sf_dir):
     return alerts(spark, sf_dir, tier="critical")
 
 
+def _silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.to_silver(B.to_bronze(record_stream(use_disk_state(spark), sf_dir)))
+
+
 @query
 def ext_windowed_health(spark, sf_dir):
-    cfg = workspace(use_disk_state(spark), "windows")
-    windows = stateful.windowed_device_health(S.to_silver(B.to_bronze(record_stream(spark, sf_dir))))
-    layers.drain(layers.append_stream(windows, cfg, "windows", cfg.table("windows"), cfg.silver_every))
-    return health_rounded(read_table(spark, cfg, cfg.table("windows"), windows.schema))
+    cfg = workspace(spark, "windows")
+    layers.drain(upserts.start_live_health(spark, cfg, _silver_stream(spark, sf_dir)))
+    return health_rounded(upserts.read_live_health(spark, cfg)).drop("event_date", "event_hour")
+
+
+def _live(spark: SparkSession, sf_dir: str, label: str) -> EngineConfig:
+    cfg = workspace(spark, label)
+    layers.drain(upserts.start_live_rollup(spark, cfg, _silver_stream(spark, sf_dir)))
+    return cfg
+
+
+@query
+def ext_windowed_reliability(spark, sf_dir):
+    rollup = upserts.read_live_rollup(spark, _live(spark, sf_dir, "live-hours"))
+    return reliability_rounded(gold.hourly_reliability_from(rollup))
+
+
+@query
+def ext_live_gold_alerts(spark, sf_dir):
+    return upserts.read_live_gold(spark, _live(spark, sf_dir, "live-alerts"))["alert_summary"]
+
+
+@query
+def ext_live_gold_threats(spark, sf_dir):
+    return upserts.read_live_gold(spark, _live(spark, sf_dir, "live-threats"))["security_threats"]
 
 
 @query
