@@ -24,8 +24,8 @@ _GIVEN = r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@=-]{3,}"""
 LOGIN = "(" + _any_case("username|user_?id|user|login|account|client_?id|access_?key_?id") + ")" + _GIVEN
 PROOF = "(" + _any_case("pwd|passphrase|passcode|pass|private_?key|access_?key|auth|credentials?|signature") + ")" + _GIVEN
 PLACE = (
-    "(" + _any_case("https?|ftps?|sftp|ssh|jdbc|postgres|postgresql|mysql|mongodb|redis|amqps?|ldaps?")
-    + "://[A-Za-z0-9._~%:@/?&=+-]{3,}|(" + _any_case("hostname|host|server|endpoint") + ")" + _GIVEN + ")"
+    "((" + _any_case("https?|ftps?|sftp|ssh|jdbc|postgres|postgresql|mysql|mongodb|redis|amqps?|ldaps?")
+    + ")://[A-Za-z0-9._~%:@/?&=+-]{3,}|(" + _any_case("hostname|host|server|endpoint") + ")" + _GIVEN + ")"
 )
 
 #: Kinds in the order in which spans of one start are listed: the base kinds, then the weak ones.

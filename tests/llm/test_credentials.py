@@ -76,6 +76,8 @@ TEXTS = [
     "AKIA AKIAAKIAAKIAAKIA AKIA0123456789 AKIA012345678901_AKIA",
     "user=a1b2 pass=c3d4 " * 600 + "server: x.y.z",  # many parts in a row
     f"token={HEX}\n" * 700,  # more matches than a piece
+    "user=bob pass=abcd the ssh and http words",  # no place
+    "user=bob pass=abcd at SSH://box.example",
     "host=h1x user=u1x auth=p1x\n \t\nhost=h2x user=u2x\n\nauth=p3x host=h3x",
 ]
 
@@ -97,6 +99,9 @@ def test_planted_parts(planted):
     assert got == by_plain_loops(rows)
     spans = {r[0]: r[-1] for r in got if r[0] not in (0, 3)}
     assert "login" in spans[1] and "place" in spans[1] and spans[2] == ""
+    of = {text: found for text, found in zip(TEXTS, (plain_row(0, t)[-1] for t in TEXTS))}
+    assert of["user=bob pass=abcd the ssh and http words"] == ""
+    assert of["user=bob pass=abcd at SSH://box.example"] == "login:0:8,proof:9:18,place:22:39"
     assert "proof" in spans[4] and "proof" not in spans[5]
 
 
