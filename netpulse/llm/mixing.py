@@ -112,14 +112,19 @@ def _ranked(sources: DataFrame, weight: Callable[[Column], Column]) -> DataFrame
 
 
 def _fill(plan: DataFrame) -> DataFrame:
-    """Choose slots worth the fractional part of each target; at most SLOTS rows per source."""
+    """Choose slots worth the fractional part of each target; at most SLOTS rows per source.
+
+    A slot without words enters where something is left to fill, or where its source would not enter
+    at all; so it is not repeated once more than a source at its cap.
+    """
     source = Window.partitionBy("source")
     running = source.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
     plan = plan.withColumns(
         {"open": F.col("target") - F.col("whole") * F.col("source_size"), "extra": F.lit(False)}
     )
     for _ in range(FILL_ROUNDS):
-        fits = ~F.col("extra") & (F.col("slot_size") <= F.col("open"))
+        worth = (F.col("slot_size") > 0) | (F.col("open") > 0) | (F.col("whole") == 0)
+        fits = ~F.col("extra") & worth & (F.col("slot_size") <= F.col("open"))
         plan = plan.withColumn("reach", F.sum(F.when(fits, F.col("slot_size")).otherwise(0)).over(running))
         plan = plan.withColumn("now", fits & (F.col("reach") <= F.col("open")))
         plan = plan.withColumn("filled", F.sum(F.when(F.col("now"), F.col("slot_size")).otherwise(0)).over(source))

@@ -59,6 +59,14 @@ def test_targets_stop_at_the_cap_and_the_excess_is_reshared(spark):
     assert sum(want.values()) == pytest.approx(220 * 50)
 
 
+def test_empty_documents_keep_to_the_cap(spark):
+    rows = [(1, "w " * 40, "a"), (2, "", "a"), (3, None, "a"), (4, "w " * 4000, "b"), (5, "", "b"), (6, "", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    times = {r.doc_id: r["count"] for r in mixing.mixed(docs).groupBy("doc_id").count().collect()}
+    assert times[1] == 3 and times[2] == times[3] == 3
+    assert max(times.values()) <= 3 and times[6] == 1
+
+
 def test_odd_rows(odd):
     rows = mixing.mixed_sizes(odd).collect()
     assert len(rows) == odd.count()
