@@ -1,20 +1,30 @@
-"""Time the headline queries; prints one JSON line.
+"""Time the headline queries, and stored layers on a larger input; prints one JSON line.
 
 BENCH_SF_DIR  folder with the input tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
 BENCH_ONLY    comma-separated query names (default: the list below)
+BENCH_COPIES  copies of the events for the stored layers, each 30 days later (default 4; 0 leaves that part out)
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
+from datetime import date
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from netpulse import build_session  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from netpulse import EngineConfig, build_session  # noqa: E402
+from netpulse.operators import bronze, silver, views  # noqa: E402
+from netpulse.plans import build  # noqa: E402
+from netpulse.session import fresh_folder  # noqa: E402
+from netpulse.streaming import layers  # noqa: E402
+from verification import telemetry  # noqa: E402
 from verification.registry import QUERIES  # noqa: E402
 
 HEADLINE = (
@@ -44,6 +54,51 @@ HEADLINE = (
 )
 
 
+def stored_layers(spark, sf_dir: str, copies: int, cpus: int) -> dict:
+    """Seconds of the steps between stored layers, and of micro-batches, over several copies of the events."""
+    root = fresh_folder(spark, "bench")
+    events = telemetry.read_events(spark, sf_dir)
+    n = events.count()
+    many = events.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).select(
+        (F.col("event_id") + F.col("copy") * n).alias("event_id"),
+        (F.col("ts") + F.make_dt_interval(F.col("copy") * 30)).alias("ts"), "user_id", "event_type", "value", "props",
+    )
+    landing = f"{root}/landing"
+    telemetry.telemetry_records(many).repartitionByRange(2 * cpus, "timestamp").write.parquet(landing)
+    cfg = EngineConfig.under(root, available_now=True, record_source="files", records_path=landing, max_files_per_trigger=2)
+    seconds = {}
+
+    def timed(name: str, step):
+        start = time.perf_counter()
+        result = step()
+        seconds[name] = round(time.perf_counter() - start, 3)
+        return result
+
+    def consume(df):
+        df.write.format("noop").mode("overwrite").save()
+
+    timed("parse_and_enrich", lambda: consume(silver.to_silver(bronze.to_bronze(spark.read.parquet(landing)))))
+    batches = {}
+    for name, start in (("bronze", layers.start_bronze), ("silver", layers.start_silver), ("alerts", layers.start_alerts)):
+        query = timed(f"{name}_stream", lambda start=start: _drained(start(spark, cfg)))
+        took = [p.durationMs["triggerExecution"] / 1000 for p in query.recentProgress if p.numInputRows]
+        batches[name] = {"batches": len(took), "p50": statistics.median(took), "p95": sorted(took)[int(0.95 * (len(took) - 1))]}
+    timed("gold_full", lambda: build.build_gold(spark, cfg))
+    timed("gold_one_date", lambda: build.build_gold(spark, cfg, [date(2024, 1, 10)]))
+    timed("serving_load", lambda: build.load_serving(spark, cfg))
+    gold = build.read_gold(spark, cfg)
+    timed("vw_executive", lambda: consume(views.executive(gold["network_reliability"])))
+    timed("vw_device_health_summary", lambda: consume(views.device_health_summary(gold["device_health_kpis"])))
+    timed("q3_alert_trend", lambda: consume(views.alert_trend(gold["alert_summary"])))
+    rate = round(n * copies / seconds["parse_and_enrich"])
+    return {"events": n * copies, "seconds": seconds, "batch_seconds": batches, "enriched_per_second": rate}
+
+
+def _drained(query):
+    layers.drain(query)
+    return query
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -61,6 +116,8 @@ def main() -> None:
     run("silver_enrich")  # start-up cost of the JVM is not a query cost
     times = {name: round(run(name), 3) for name in names}
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    copies = int(os.environ.get("BENCH_COPIES", "4"))
+    stored = stored_layers(spark, sf_dir, copies, int(cpus)) if copies else {}
     print(
         json.dumps(
             {
@@ -74,6 +131,7 @@ def main() -> None:
                     if name in times
                 },
                 "events": events,
+                "stored_layers": stored,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
             }
         )

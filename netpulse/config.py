@@ -22,6 +22,7 @@ class EngineConfig:
     neither their number nor a chatty device bounds the tasks of a batch.
     ``bronze_files`` has a micro-batch leave at most so many Bronze files per event type, by a shuffle, where
     a task would else leave one each. ``cluster_order`` and ``row_group_bytes`` lay out the serving tables.
+    ``payload`` is how Bronze holds it: a ``map`` of texts, or a ``variant`` with types, nesting and all keys.
     ``fan_out`` says how Silver and Alerts follow Bronze; one deployment keeps to one way, because a
     file table written by a stream lists its files in the stream's own log.
     """
@@ -38,6 +39,7 @@ class EngineConfig:
     min_partitions: int | None = None
     max_files_per_trigger: int | None = None
     bronze_files: int | None = None
+    payload: str = "map"
     cluster_order: str = "linear"
     row_group_bytes: int | None = None
     table_format: str = "parquet"
@@ -58,6 +60,7 @@ class EngineConfig:
             ("fan_out", ("two_queries", "single_scan")),
             ("alert_tier", ("actionable", "critical")),
             ("cluster_order", ("linear", "zorder")),
+            ("payload", ("map", "variant")),
         ):
             if getattr(self, name) not in allowed:
                 raise ValueError(f"{name} must be one of {allowed}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from netpulse import domain
 from netpulse.functions import events as E
@@ -12,9 +13,13 @@ from netpulse.schemas import ALERTS, PAYLOAD_COLUMNS, SILVER
 
 
 def flatten_payload(df: DataFrame) -> DataFrame:
-    """Replace the ``payload`` map by one typed, nullable column per known key."""
+    """Replace the ``payload``, a map or a variant, by one typed, nullable column per known key."""
     kept = [name for name in df.columns if name != "payload"]
-    extracted = [E.as_type(F.col("payload")[key], kind).alias(column) for key, column, kind in PAYLOAD_COLUMNS]
+    if isinstance(df.schema["payload"].dataType, T.VariantType):
+        text = lambda key: F.try_variant_get("payload", f"$.{key}", "string")
+    else:
+        text = lambda key: F.col("payload")[key]
+    extracted = [E.as_type(text(key), kind).alias(column) for key, column, kind in PAYLOAD_COLUMNS]
     return df.select(*kept, *extracted)
 
 

@@ -14,7 +14,7 @@ from netpulse.operators import quality
 from netpulse.operators.silver import select_alerts
 from netpulse.plans import build
 from netpulse.plans.writing import on_dates
-from netpulse.schemas import BRONZE
+from netpulse.schemas import bronze_schema
 from netpulse.session import prepare
 from netpulse.sources.tables import read_table_or_none
 from netpulse.streaming import layers
@@ -92,7 +92,7 @@ def run_hourly(
     """
     prepare(spark)
     as_of = as_of or datetime.now(timezone.utc)  # one moment for every gate, however long the run takes
-    bronze = read_table_or_none(spark, cfg, cfg.bronze, BRONZE)
+    bronze = read_table_or_none(spark, cfg, cfg.bronze, bronze_schema(cfg.payload))
     if bronze is None or not quality.has_recent_records(bronze.filter(quality.ingested_since(as_of)), as_of):
         return HourlyReport("skipped")
 

@@ -86,6 +86,15 @@ for _name, _kind in (
 ):
     BRONZE = BRONZE.add(_name, _kind, True)
 
+
+
+def bronze_schema(payload: str = "map") -> T.StructType:
+    """Bronze with its payload as a map of texts, or as a VARIANT that keeps types, nesting and unknown keys."""
+    if payload == "map":
+        return BRONZE
+    return T.StructType([T.StructField(f.name, T.VariantType() if f.name == "payload" else f.dataType) for f in BRONZE.fields])
+
+
 # Bronze columns that stop at Bronze (Alerts keep them).
 SILVER_DROPS = ("kafka_key", "kafka_topic", "kafka_partition", "kafka_offset", "_source")
 

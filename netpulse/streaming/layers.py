@@ -16,7 +16,7 @@ from netpulse.config import EngineConfig
 from netpulse.operators.bronze import rejects, to_bronze
 from netpulse.operators.silver import enriched, select_alerts
 from netpulse.plans.writing import replace_table
-from netpulse.schemas import ALERTS, BRONZE, SILVER
+from netpulse.schemas import ALERTS, SILVER, bronze_schema
 from netpulse.session import prepare
 from netpulse.sources import folders
 from netpulse.sources.records import stream_records
@@ -35,7 +35,7 @@ _LIVE: dict[str, StreamingQuery] = {}
 def start_bronze(spark: SparkSession, cfg: EngineConfig, records: DataFrame | None = None) -> StreamingQuery:
     """Records to Bronze. ``cfg.quarantine`` keeps unreadable records out (see :func:`start_rejects`)."""
     source = stream_records(prepare(spark), cfg) if records is None else records
-    rows = to_bronze(source, drop_rejects=cfg.quarantine)
+    rows = to_bronze(source, drop_rejects=cfg.quarantine, payload=cfg.payload)
     if cfg.bronze_files:
         spread = F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.lit(cfg.bronze_files))
         rows = rows.repartition(*BRONZE_PARTITIONS, spread)
@@ -60,7 +60,7 @@ def _alerts(cfg: EngineConfig) -> Output:
 
 
 def start_silver(spark: SparkSession, cfg: EngineConfig) -> StreamingQuery:
-    bronze = stream_table(prepare(spark), cfg, cfg.bronze, BRONZE)
+    bronze = stream_table(prepare(spark), cfg, cfg.bronze, bronze_schema(cfg.payload))
     return _started(start_committed(enriched(bronze), cfg, "silver", cfg.silver_every, [_silver(cfg)]), cfg, "silver")
 
 
@@ -74,13 +74,13 @@ def start_alerts(spark: SparkSession, cfg: EngineConfig, records: DataFrame | No
     if records is not None or cfg.alerts_from == "source":
         bronze = to_bronze(stream_records(spark, cfg) if records is None else records, drop_rejects=cfg.quarantine)
     else:
-        bronze = stream_table(spark, cfg, cfg.bronze, BRONZE)
+        bronze = stream_table(spark, cfg, cfg.bronze, bronze_schema(cfg.payload))
     return _started(start_committed(enriched(bronze), cfg, "alerts", cfg.alerts_every, [_alerts(cfg)]), cfg, "alerts")
 
 
 def start_silver_and_alerts(spark: SparkSession, cfg: EngineConfig) -> StreamingQuery:
     """Both layers from one scan of Bronze, for loads where reading it twice costs more than latency."""
-    bronze = stream_table(prepare(spark), cfg, cfg.bronze, BRONZE)
+    bronze = stream_table(prepare(spark), cfg, cfg.bronze, bronze_schema(cfg.payload))
     name, outputs = "silver_and_alerts", [_silver(cfg), _alerts(cfg)]
     return _started(start_committed(enriched(bronze), cfg, name, cfg.alerts_every, outputs), cfg, name)
 

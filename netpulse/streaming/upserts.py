@@ -13,7 +13,7 @@ from netpulse.functions.utc import utc_date, utc_hour
 from netpulse.operators import gold
 from netpulse.operators.silver import enriched
 from netpulse.plans.writing import balanced, replace_partitions
-from netpulse.schemas import BRONZE
+from netpulse.schemas import bronze_schema
 from netpulse.session import prepare, use_disk_state
 from netpulse.sources import folders
 from netpulse.sources.tables import read_table, read_table_or_none, stream_table
@@ -117,4 +117,4 @@ def read_live_rollup(spark: SparkSession, cfg: EngineConfig) -> DataFrame:
 
 
 def _silver_stream(spark: SparkSession, cfg: EngineConfig) -> DataFrame:
-    return enriched(stream_table(use_disk_state(prepare(spark)), cfg, cfg.bronze, BRONZE))
+    return enriched(stream_table(use_disk_state(prepare(spark)), cfg, cfg.bronze, bronze_schema(cfg.payload)))

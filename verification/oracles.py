@@ -285,6 +285,8 @@ DQ_SQL = _sql(
 ORACLES: dict[str, str] = {
     # Bronze
     "bronze_parse": BRONZE_SQL,
+    "bronze_variant": BRONZE_SQL,
+    "silver_from_variant": SILVER_SQL,
     "bronze_metadata": _sql('SELECT event_id, "timestamp", event_ts, \'kafka\' AS _source FROM telemetry'),
     "batch_scan_bronze": BRONZE_SQL,
     "topk_latest_bronze": _sql(

@@ -121,6 +121,31 @@ def bronze_parse(spark, sf_dir):
     return spread_payload(bronze(spark, sf_dir))
 
 
+def _variant_bronze(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """Bronze with variant payloads, written and read back."""
+    cfg = workspace(spark, label, payload="variant")
+    replace_table(B.to_bronze(records(spark, sf_dir), payload=cfg.payload), cfg, cfg.bronze, layers.BRONZE_PARTITIONS)
+    return read_table(spark, cfg, cfg.bronze, schemas.bronze_schema(cfg.payload))
+
+
+@query
+def bronze_variant(spark, sf_dir):
+    """All payload keys, the numbers with a fraction as numbers."""
+    rows = _variant_bronze(spark, sf_dir, "variant")
+    doubles = {key for key, _, kind in schemas.PAYLOAD_COLUMNS if kind == "double"}
+    get = lambda key: F.try_variant_get("payload", f"$.{key}", "double" if key in doubles else "string")
+    return rows.select(
+        *[name for name in rows.columns if name != "payload"],
+        *[get(key).cast("string").alias(f"payload_{key}") for key in PAYLOAD],
+        F.size(F.from_json(F.to_json("payload"), "map<string,string>")).alias("payload_size"),
+    )
+
+
+@query
+def silver_from_variant(spark, sf_dir):
+    return S.to_silver(_variant_bronze(spark, sf_dir, "variant-silver"))
+
+
 @query
 def bronze_metadata(spark, sf_dir):
     return bronze(spark, sf_dir).select("event_id", "timestamp", "event_ts", "_source")
