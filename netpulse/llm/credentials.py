@@ -32,6 +32,14 @@ PLACE = (
 PATTERNS = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "login": LOGIN, "proof": PROOF, "place": PLACE}
 KINDS = list(PATTERNS)
 BASE = ("assign", "access", "hex")
+#: Each match has one of these in it, lower-cased; a text without any is not searched for the kind.
+LITERALS = {
+    "assign": ("password", "passwd", "secret", "token", "api"),
+    "access": ("akia",),
+    "login": ("user", "login", "account", "client", "access"),
+    "proof": ("pwd", "pass", "private", "access", "auth", "credential", "signature"),
+    "place": ("://", "host", "server", "endpoint"),
+}
 #: The part of a credential that a kind is; base kinds are strong.
 PARTS = {"who": ("access", "login"), "what": ("assign", "hex", "proof"), "where": ("place",)}
 WEAK_PARTS = {"login": "who", "proof": "what", "place": "where"}
@@ -46,16 +54,26 @@ PIECE = 256
 _SPAN = "array<struct<start:bigint,end:bigint,match:string>>"
 
 
-def spans(text: Column, pattern: str) -> Column:
+def may_hold(lowered: Column, kind: str) -> Column:
+    """Whether a lower-cased text has a literal of the kind: a byte search, much cheaper than the pattern."""
+    found = F.lit(kind not in LITERALS)
+    for literal in LITERALS.get(kind, ()):
+        found = found | lowered.contains(literal)
+    return found
+
+
+def spans(text: Column, pattern: str, worth: Column | None = None) -> Column:
     """Array of (start, end, match) of the leftmost non-overlapping matches, in code points.
 
     Splitting at the pattern leaves the text between the matches, so running lengths give the
     places. They are summed within pieces, whose own starts are summed before: appending to one
-    long array would copy it for every match. Only texts that have a match are split.
+    long array would copy it for every match. Only texts that have a match are split; those that are
+    not ``worth`` it are not searched.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.arrays_zip(found.alias("match"), F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)).alias("gap"))
-    return F.when(text.rlike(pattern), _placed(pairs)).otherwise(F.array().cast(_SPAN))
+    held = text.rlike(pattern) if worth is None else worth & text.rlike(pattern)
+    return F.when(held, _placed(pairs)).otherwise(F.array().cast(_SPAN))
 
 
 def _placed(pairs: Column) -> Column:
@@ -95,10 +113,10 @@ def scanned(docs: DataFrame) -> DataFrame:
     One pass over the texts, without a shuffle. ``blocks`` says where blocks of lines end, for texts
     with a weak part.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text, lowered = F.col("text"), F.col("lowered")
 
     def of_kind(kind: str) -> Column:
-        found = spans(text, PATTERNS[kind])
+        found = spans(text, PATTERNS[kind], may_hold(lowered, kind))
         if kind == "assign":
             value = lambda s: F.regexp_extract(s["match"], f"^{ASSIGN}$", 2)
             found = F.filter(found, lambda s: F.char_length(value(s)) >= LEAST_ASSIGNED)
@@ -106,14 +124,16 @@ def scanned(docs: DataFrame) -> DataFrame:
         return F.transform(found, lambda s: F.struct(s["start"].alias("start"), number.alias("kind"), s["end"].alias("end")))
 
     weak = [of_kind(kind) for kind in WEAK_PARTS]
-    any_weak = text.rlike("|".join(PATTERNS[kind] for kind in WEAK_PARTS))
-    keyed = with_row_key(docs.select(F.col("doc_id").cast("bigint"), "text"))
-    return keyed.select(
+    keyed = with_row_key(docs.select(F.col("doc_id").cast("bigint"), "text")).withColumn(
+        "text", F.coalesce("text", F.lit(""))
+    )
+    found = keyed.withColumn("lowered", F.lower("text")).select(
         "doc_id", "_key_id", "_key_text",
         F.concat(*[of_kind(kind) for kind in BASE]).alias("base"),
-        F.when(any_weak, F.concat(*weak)).otherwise(F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")).alias("weak"),
-        F.when(any_weak, spans(text, BLOCK_END)).otherwise(F.array().cast(_SPAN)).alias("blocks"),
+        F.concat(*weak).alias("weak"), "text",
     )
+    blocks = F.when(F.size("weak") > 0, spans(F.col("text"), BLOCK_END)).otherwise(F.array().cast(_SPAN))
+    return found.withColumn("blocks", blocks).drop("text")
 
 
 _KEY = ["_key_id", "_key_text"]
