@@ -18,7 +18,7 @@ AXES = 8
 #: Vectors in a stored block, and in the smallest interval of the recursion inside a pair of blocks.
 BLOCK, LEAF = 1024, 64
 #: Branching of the interval tree over blocks, as a power of two.
-BRANCH_BITS = 3
+BRANCH_BITS = 5
 #: Slack on the pruning distance, far above rounding errors.
 SLACK = 1e-6
 
@@ -135,7 +135,7 @@ def block_pairs(blocks: DataFrame, reach: float) -> DataFrame:
 
     Recursion over the ordered sequence: its intervals form a tree, and a pair of intervals is
     divided further only while their boxes are close enough. Both ends of every step are equi-joins
-    on the parent interval.
+    on the parent interval. The boxes of all levels are one table, made from the blocks at once.
     """
     bits = max(0, blocks.agg(F.max("number")).first()[0] or 0).bit_length()
     boxes = [x for k in range(AXES) for x in (F.min(f"lo{k}").alias(f"lo{k}"), F.max(f"hi{k}").alias(f"hi{k}"))]
@@ -143,10 +143,12 @@ def block_pairs(blocks: DataFrame, reach: float) -> DataFrame:
     leaves = stored(leaves.select("label", "width", "at", *[f"{s}{k}" for s in ("lo", "hi") for k in range(AXES)]), "boxes")
     depth = -(-(leaves.agg(F.max("at")).first()[0] or 0).bit_length() // BRANCH_BITS)
 
+    above = F.explode(F.array(*[F.struct(F.lit(up).alias("level"), F.shiftright("at", up * BRANCH_BITS).alias("at")) for up in range(depth + 1)]))
+    every = leaves.withColumn("node", above).select("label", "width", "node.*", *[f"{s}{k}" for s in ("lo", "hi") for k in range(AXES)])
+    tree = stored(every.groupBy("level", "label", "width", "at").agg(*boxes), "tree")
+
     def level(up: int) -> DataFrame:
-        at = F.shiftright("at", up * BRANCH_BITS)
-        nodes = leaves.groupBy("label", "width", at.alias("at")).agg(*boxes)
-        return nodes.withColumn("up", F.shiftright("at", BRANCH_BITS))
+        return tree.where(F.col("level") == up).withColumn("up", F.shiftright("at", BRANCH_BITS))
 
     top = level(depth).select("label", "width", F.col("at").alias("x"), F.col("at").alias("y"))
     for up in range(depth - 1, -1, -1):
