@@ -3,7 +3,7 @@
 BENCH_SF_DIR  folder with the input tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
 BENCH_ONLY    comma-separated query names (default: the list below)
-BENCH_COPIES  copies of the events for the stored layers, each 30 days later (default 4; 0 leaves that part out)
+BENCH_COPIES  copies of the events for the stored layers, each 30 days later (default 2; 0 leaves that part out)
 """
 
 from __future__ import annotations
@@ -65,7 +65,7 @@ def stored_layers(spark, sf_dir: str, copies: int, cpus: int) -> dict:
     )
     landing = f"{root}/landing"
     telemetry.telemetry_records(many).repartitionByRange(2 * cpus, "timestamp").write.parquet(landing)
-    cfg = EngineConfig.under(root, available_now=True, record_source="files", records_path=landing, max_files_per_trigger=2)
+    cfg = EngineConfig.under(root, available_now=True, record_source="files", records_path=landing, max_files_per_trigger=4)
     seconds = {}
 
     def timed(name: str, step):
@@ -116,7 +116,7 @@ def main() -> None:
     run("silver_enrich")  # start-up cost of the JVM is not a query cost
     times = {name: round(run(name), 3) for name in names}
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
-    copies = int(os.environ.get("BENCH_COPIES", "4"))
+    copies = int(os.environ.get("BENCH_COPIES", "2"))
     stored = stored_layers(spark, sf_dir, copies, int(cpus)) if copies else {}
     print(
         json.dumps(
