@@ -17,8 +17,10 @@ from netpulse.llm.common import connected_components, stored
 AXES = 8
 #: Vectors in a stored block, and in the smallest interval of the recursion inside a pair of blocks.
 BLOCK, LEAF = 1024, 64
-#: Branching of the interval tree over blocks, as a power of two.
+#: Branching of the interval tree over runs, as a power of two.
 BRANCH_BITS = 5
+#: Neighbouring blocks that make a run at most, and neighbouring runs that one left run meets in a task.
+RUN_BITS, TILE_BITS = 5, 2
 #: Slack on the pruning distance, far above rounding errors.
 SLACK = 1e-6
 
@@ -130,17 +132,29 @@ def _gap(reach: float) -> Column:
     return total <= (reach + SLACK) ** 2
 
 
-def block_pairs(blocks: DataFrame, reach: float) -> DataFrame:
-    """Pairs of blocks (left, right; left <= right) that may hold vectors within reach.
+def with_runs(blocks: DataFrame) -> DataFrame:
+    """Add ``at``: blocks in a row that hold about BLOCK vectors together share one, full blocks have their own.
+
+    A run is the blocks of a label and width that share ``at``, 2^RUN_BITS of them at most. Sparse range
+    partitions leave blocks far below BLOCK; taken alone, each of them would meet each.
+    """
+    found = blocks.agg(F.max("number").alias("number"), F.max("part").alias("part"), F.sum("n").alias("n")).first()
+    bits = (found.number or 0).bit_length()
+    mean = (found.n or 0) / (((found.part or 0) + 1) << bits)
+    spare = max(0, int(BLOCK / max(mean, 1e-9)).bit_length() - 1)
+    place = F.shiftleft(F.col("part").cast("bigint"), bits) + F.col("number")
+    return blocks.withColumns({"place": place, "at": F.shiftright(place, min(spare, RUN_BITS))})
+
+
+def run_pairs(blocks: DataFrame, reach: float) -> DataFrame:
+    """Pairs of runs (left, right; left <= right) that may hold vectors within reach.
 
     Recursion over the ordered sequence: its intervals form a tree, and a pair of intervals is
     divided further only while their boxes are close enough. Both ends of every step are equi-joins
     on the parent interval. The boxes of all levels are one table, made from the blocks at once.
     """
-    bits = max(0, blocks.agg(F.max("number")).first()[0] or 0).bit_length()
     boxes = [x for k in range(AXES) for x in (F.min(f"lo{k}").alias(f"lo{k}"), F.max(f"hi{k}").alias(f"hi{k}"))]
-    leaves = blocks.withColumn("at", F.shiftleft(F.col("part").cast("bigint"), bits) + F.col("number"))
-    leaves = stored(leaves.select("label", "width", "at", *[f"{s}{k}" for s in ("lo", "hi") for k in range(AXES)]), "boxes")
+    leaves = blocks.select("label", "width", "at", *[f"{s}{k}" for s in ("lo", "hi") for k in range(AXES)])
     depth = -(-(leaves.agg(F.max("at")).first()[0] or 0).bit_length() // BRANCH_BITS)
 
     above = F.explode(F.array(*[F.struct(F.lit(up).alias("level"), F.shiftright("at", up * BRANCH_BITS).alias("at")) for up in range(depth + 1)]))
@@ -150,6 +164,7 @@ def block_pairs(blocks: DataFrame, reach: float) -> DataFrame:
     def level(up: int) -> DataFrame:
         return tree.where(F.col("level") == up).withColumn("up", F.shiftright("at", BRANCH_BITS))
 
+    # the one interval at the top of each label is paired with itself
     top = level(depth).select("label", "width", F.col("at").alias("x"), F.col("at").alias("y"))
     for up in range(depth - 1, -1, -1):
         nodes = level(up)
@@ -182,36 +197,52 @@ def _within(left: np.ndarray, right: np.ndarray, same: bool, least: float, pl: n
         stack.extend((*x, *y) for x in firsts for y in seconds)
 
 
-def _join_blocks(least: float, reach: float):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                ids = [np.frombuffer(x, "<i8") for x in (row.l_ids, row.r_ids)]
-                counts = [np.frombuffer(x, "<i8") for x in (row.l_weights, row.r_weights)]
-                raw = [np.frombuffer(x, "<f4").reshape(len(i), -1).astype(np.float64) for x, i in zip((row.l_vectors, row.r_vectors), ids)]
-                unit = [x / np.linalg.norm(x, axis=1, keepdims=True) for x in raw]
-                center = unit[0].mean(axis=0)
-                # local leading directions bound the halves; any orthonormal ones keep the bound right
-                lead = np.linalg.svd(np.vstack([x[:: max(1, len(x) // 128)] for x in unit]) - center, full_matrices=False)[2][:AXES]
-                places = [(x - center) @ lead.T for x in unit]
-                same = row.same
-                links = [np.zeros(len(i), np.int64) for i in ids]
-                parent = np.arange(len(ids[0]) + (0 if same else len(ids[1])))
-                shift = 0 if same else len(ids[0])
-                for i, j in _within(*unit, same, least, *places, reach):
-                    if not len(i):
-                        continue
-                    links[0] += np.bincount(i, counts[1][j], len(ids[0])).astype(np.int64)
-                    links[0 if same else 1] += np.bincount(j, counts[0][i], len(ids[0 if same else 1])).astype(np.int64)
-                    parent = _merge(parent, i, j + shift)
-                every = ids[0] if same else np.concatenate(ids)
-                total = links[0] if same else np.concatenate(links)
-                hit = np.flatnonzero(total)
-                yield pd.DataFrame({"vec_id": every[hit], "links": total[hit], "mate": every[parent[hit]]})
+def _join_runs(least: float, reach: float):
+    """Links between a left run and a few right runs: per vector their number, and a mate of a spanning forest."""
+
+    def run(tile: pd.DataFrame) -> pd.DataFrame:
+        tile = tile.sort_values(["y", "place"], kind="stable")
+        is_left = (tile["side"] == 0).to_numpy()
+        out = []
+        left = _Run(tile[is_left])
+        if (tile["x"] == tile["y"]).any():
+            out.append(left.links(left, least, reach))
+        for _, rows in tile[~is_left].groupby("y"):
+            out.append(left.links(_Run(rows), least, reach))
+        return pd.concat(out, ignore_index=True)
 
     return run
 
 
+class _Run:
+    """The vectors of some blocks in a row."""
+
+    def __init__(self, blocks: pd.DataFrame):
+        self.ids = np.frombuffer(b"".join(blocks["ids"]), "<i8")
+        self.copies = np.frombuffer(b"".join(blocks["weights"]), "<i8")
+        raw = np.frombuffer(b"".join(blocks["vectors"]), "<f4").reshape(len(self.ids), -1).astype(np.float64)
+        self.unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+
+    def links(self, right: _Run, least: float, reach: float) -> pd.DataFrame:
+        same = right is self
+        center = self.unit.mean(axis=0)
+        # local leading directions bound the halves; any orthonormal ones keep the bound right
+        some = np.vstack([x[:: max(1, len(x) // 128)] for x in (self.unit, right.unit)])
+        lead = np.linalg.svd(some - center, full_matrices=False)[2][:AXES]
+        places = [(x - center) @ lead.T for x in (self.unit, right.unit)]
+        shift = 0 if same else len(self.ids)
+        every = self.ids if same else np.concatenate([self.ids, right.ids])
+        total, parent = np.zeros(len(every), np.int64), np.arange(len(every))
+        for i, j in _within(self.unit, right.unit, same, least, *places, reach):
+            if not len(i):
+                continue
+            np.add.at(total, i, right.copies[j])
+            np.add.at(total, j + shift, self.copies[i])
+            parent = _merge(parent, i, j + shift)
+        hit = np.flatnonzero(total)
+        return pd.DataFrame({"vec_id": every[hit], "links": total[hit], "mate": every[parent[hit]]})
+
+
 def _merge(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Join the trees of i and j by least root, until every pair shares one."""
     while True:
@@ -231,7 +262,7 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame
     Unit vectors with cosine >= c lie within sqrt(2 - 2c) of each other, and an orthonormal
     projection never lengthens a distance, so distant grid intervals are skipped without losing a
     pair. Equal vectors of a label are one class in the join and count as each other's links. A
-    pair of blocks returns link counts and a spanning forest: rows grow with the vectors, not with
+    pair of runs returns link counts and a spanning forest: rows grow with the vectors, not with
     their pairs. The cosine is taken in double precision.
 
     A vector without label, without id, null, all zero or with a null or non-finite component links
@@ -248,16 +279,17 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame
         .select("label", "packed", F.expr("cast(length(packed) / 4 as int)").alias("width"), "vec_id", "copies"),
         "classes",
     )
-    blocks = grid_order_blocks(classes, reach)
-    bits = max(0, blocks.agg(F.max("number")).first()[0] or 0).bit_length()
-    at = F.shiftleft(F.col("part").cast("bigint"), bits) + F.col("number")
-    payload = blocks.select(at.alias("at"), "ids", "weights", "vectors")
-    pairs = block_pairs(blocks, reach)
-    left = payload.select(*[F.col(c).alias(f"l_{c}") for c in payload.columns])
-    right = payload.select(*[F.col(c).alias(f"r_{c}") for c in payload.columns])
-    joined = pairs.join(left, F.col("x") == F.col("l_at")).join(right, F.col("y") == F.col("r_at"))
-    work = joined.select("l_ids", "l_weights", "l_vectors", "r_ids", "r_weights", "r_vectors", (F.col("x") == F.col("y")).alias("same"))
-    found = stored(work.mapInPandas(_join_blocks(least, reach), "vec_id bigint, links bigint, mate bigint"), "links")
+    blocks = with_runs(grid_order_blocks(classes, reach))
+    pairs = run_pairs(blocks, reach)
+    # a left run goes to a task once for 2^TILE_BITS right ones
+    kind = ["label", "width"]
+    tile = pairs.select(*kind, "x", F.shiftright("y", TILE_BITS).alias("tile"), "y")
+    lefts = tile.groupBy(*kind, "x", "tile").agg(F.max(F.when(F.col("x") == F.col("y"), F.col("y"))).alias("itself"))
+    lefts = lefts.select(*kind, F.col("x").alias("at"), "x", "tile", F.coalesce("itself", F.lit(-1)).alias("y"), F.lit(0).alias("side"))
+    rights = tile.where("x <> y").select(*kind, F.col("y").alias("at"), "x", "tile", "y", F.lit(1).alias("side"))
+    work = blocks.select(*kind, "at", "place", "ids", "weights", "vectors").join(lefts.unionByName(rights), [*kind, "at"])
+    joined = work.groupBy(*kind, "x", "tile").applyInPandas(_join_runs(least, reach), "vec_id bigint, links bigint, mate bigint")
+    found = stored(joined, "links")
 
     roots = connected_components(found.select(F.col("vec_id").alias("a"), F.col("mate").alias("b")))
     counts = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
