@@ -17,16 +17,27 @@ GROUP_SHARE = 0.05
 ROW_SHARE = 1 / 1000
 #: Low bits of a place that order documents of one text; the rest is the hash of the text.
 COPY_BITS = 24
+#: Repeats of one row that are written out at a time.
+REPEATS = 4096
 _LOW, _HIGH = -(2**63), 2**63 - 1
 
 
 def placed(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32 and place, a bigint that orders rows with equal texts side by side."""
+    """doc_id, size, text_crc32 and place, a bigint that orders rows with equal texts side by side.
+
+    Rows equal in id and text are counted and written out again under a number each, so that they
+    have places of their own however many there are; a null id is an id.
+    """
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 16
     group = F.shiftleft(F.shiftright(F.xxhash64("text"), COPY_BITS), COPY_BITS)
-    copy = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << COPY_BITS) - 1))
     crc = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("bigint")
-    return docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), group.bitwiseOR(copy).alias("place"))
+    rows = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), group.alias("group"))
+    counted = rows.groupBy("doc_id", "size", "text_crc32", "group").agg(F.count("*").alias("n"))
+    some = counted.withColumn("first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(REPEATS).cast("bigint"))))
+    last = F.least(F.col("n"), F.col("first") + REPEATS) - 1
+    each = some.withColumn("number", F.explode(F.sequence("first", last)))
+    copy = F.xxhash64("doc_id", "number").bitwiseAND(F.lit((1 << COPY_BITS) - 1))
+    return each.select("doc_id", "size", "text_crc32", F.col("group").bitwiseOR(copy).alias("place"))
 
 
 def histogram(rows: DataFrame, probes: list[int]) -> dict[int, tuple[int, int]]:
@@ -94,8 +105,9 @@ def sharded(docs: DataFrame, shards: int = 40) -> DataFrame:
 
     Rows go to their shard in one exchange, by interval and not by shard, so that a shard may be
     larger than a task; slot is the row's number in the shard, 0 upwards, from exact counts before
-    its interval. Equal texts lie side by side. A null text counts as empty; repeated rows get
-    slots of their own; empty tables give no rows; extra columns are ignored.
+    its interval. Equal texts lie side by side. A null text counts as empty, a null doc_id as one
+    more id; repeated rows get slots of their own, and places of their own if more than a shard
+    holds; empty tables give no rows; extra columns are ignored.
     """
     rows = stored(placed(docs), "placed")
     chosen, probes, counts = splitters(rows, shards)

@@ -10,8 +10,8 @@ from .conftest import SMALL
 
 
 def check(docs, rows, shards=40):
-    assert sorted((r.doc_id, r.text_crc32, r["size"]) for r in rows) == sorted(
-        (d.doc_id, zlib.crc32((d.text or "").encode()), len((d.text or "").encode()) + 16) for d in docs
+    assert sorted(((r.doc_id, r.text_crc32, r["size"]) for r in rows), key=str) == sorted(
+        ((d.doc_id, zlib.crc32((d.text or "").encode()), len((d.text or "").encode()) + 16) for d in docs), key=str
     )
     slots, weight = defaultdict(list), defaultdict(int)
     for r in rows:
@@ -47,7 +47,15 @@ def test_equal_sizes_hot_group_and_small_groups(spark):
 
 
 def test_odd_rows(odd):
-    rows = sharding.sharded(odd.where("doc_id is not null"), 3).collect()
-    check(odd.where("doc_id is not null").collect(), rows, 3)
-    assert len(sharding.sharded(odd, 3).collect()) == odd.count()
+    check(odd.collect(), sharding.sharded(odd, 3).collect(), 3)
     assert sharding.sharded(odd.limit(0)).collect() == []
+
+
+def test_repeated_rows_and_null_ids_spread_over_shards(spark):
+    rows = [(5, "again " * 9)] * 9000 + [(None, "no id " * 9)] * 3000 + [(i, f"text {i} " * 6) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = sharding.sharded(df, 20).collect()
+    weight = check(df.collect(), found, 20)
+    ideal = sum(weight.values()) / 20
+    assert len(weight) == 20 and all(abs(w - ideal) <= 0.02 * ideal for w in weight.values())
+    assert sorted(map(tuple, found), key=str) == sorted(map(tuple, sharding.sharded(df.repartition(7), 20).collect()), key=str)
