@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from netpulse.sources import folders
+
 
 def build_session(
     app: str = "netpulse", master: str | None = None, conf: dict[str, str] | None = None
@@ -69,6 +73,26 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+_WORK = "netpulse.work.folder"
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A new path (not yet created) below the shared root."""
-    return f"{shared_root(spark)}/netpulse/{label}-{uuid.uuid4().hex}"
+    """A new path (not yet created) below the shared root, in the work folder of the job if it has one."""
+    root = spark.conf.get(_WORK, None) or f"{shared_root(spark)}/netpulse"
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def work_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder that takes the intermediate tables of a job and goes with them at its end, failed or not.
+
+    Results read those tables: write or collect them inside. A job inside a job has a folder of its own.
+    """
+    outer = spark.conf.get(_WORK, None)
+    path = fresh_folder(spark, "job")
+    spark.conf.set(_WORK, path)
+    try:
+        yield path
+    finally:
+        spark.conf.unset(_WORK) if outer is None else spark.conf.set(_WORK, outer)
+        folders.remove(spark, path)

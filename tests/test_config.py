@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 
 from netpulse import EngineConfig, prepare
-from netpulse.session import fresh_folder, shared_root
+from netpulse.session import fresh_folder, shared_root, work_folder
+from netpulse.sources import folders
 from netpulse.sources.records import _kafka_options
 
 
@@ -43,6 +44,21 @@ def test_shared_root_is_the_checkpoint_folder_of_the_session(spark):
     assert one != two and one.startswith(shared_root(spark))
 
 
+def test_work_folders_go_with_their_job(spark):
+    with work_folder(spark) as outer:
+        kept = fresh_folder(spark, "table")
+        spark.range(3).write.parquet(kept)
+        with work_folder(spark) as inner:
+            spark.range(3).write.parquet(fresh_folder(spark, "table"))
+            assert inner.startswith(outer) and len(folders.children(spark, inner)) == 1
+        assert kept.startswith(outer) and spark.read.parquet(kept).count() == 3 and not folders.exists(spark, inner)
+    assert not folders.exists(spark, outer) and not fresh_folder(spark, "a").startswith(outer)
+    with pytest.raises(RuntimeError), work_folder(spark) as failed:
+        spark.range(3).write.parquet(fresh_folder(spark, "table"))
+        raise RuntimeError
+    assert not folders.exists(spark, failed)
+
+
 def test_prepare_sets_the_method_limit_but_keeps_a_chosen_one_and_the_zone(spark):
     key = "spark.sql.codegen.hugeMethodLimit"
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
