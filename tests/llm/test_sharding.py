@@ -5,6 +5,8 @@ from collections import defaultdict
 
 from netpulse.llm import sharding
 from netpulse.llm.queries import op10_sharding
+from netpulse.session import work_folder
+from netpulse.sources import folders
 
 from .conftest import SMALL
 
@@ -59,3 +61,10 @@ def test_repeated_rows_and_null_ids_spread_over_shards(spark):
     ideal = sum(weight.values()) / 20
     assert len(weight) == 20 and all(abs(w - ideal) <= 0.02 * ideal for w in weight.values())
     assert sorted(map(tuple, found), key=str) == sorted(map(tuple, sharding.sharded(df.repartition(7), 20).collect()), key=str)
+
+
+def test_no_table_is_left_after_a_job(spark, odd):
+    with work_folder(spark) as path:
+        assert len(sharding.sharded(odd, 3).collect()) == odd.count()
+        assert folders.children(spark, path)
+    assert not folders.exists(spark, path)
