@@ -437,8 +437,15 @@ ORACLES: dict[str, str] = {
     "ext_dedup_stream": SILVER_SQL,
     "ext_rejects": _sql(
         f"""SELECT kafka_key, kafka_partition, kafka_offset,
-        CASE WHEN event_type = 'link_state' THEN 'tombstone' ELSE 'malformed' END AS reason
-        FROM telemetry WHERE event_type IN ('link_state', 'security_alert')"""
+        CASE WHEN event_type = 'link_state' THEN 'tombstone' ELSE 'malformed' END AS reason,
+        CASE WHEN event_type = 'security_alert' THEN left(record, length(record) // 2) END AS raw_value
+        FROM (
+          SELECT *, CAST(json_object(
+              'event_id', event_id, 'event_type', event_type, 'device_id', device_id, 'device_type', device_type,
+              'location', location, 'vendor', vendor, 'model', model, 'severity', severity, 'timestamp', "timestamp",
+              'payload', json_object('alert_type', alert_type, 'source_ip', source_ip, 'destination_ip', destination_ip,
+                'port', port, 'protocol', protocol, 'packet_count', packet_count)) AS VARCHAR) AS record
+          FROM telemetry WHERE event_type IN ('link_state', 'security_alert'))"""
     ),
     "ext_critical_alerts": _sql(f"SELECT {ALERT_COLUMNS} FROM silver WHERE severity = 'CRITICAL'"),
     "ext_windowed_health": _sql(

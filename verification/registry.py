@@ -592,7 +592,8 @@ def ext_rejects(spark, sf_dir):
     cut = F.substring(text, F.lit(1), (F.length(text) / 2).cast("int")).cast("binary")
     damaged = F.when(kind == "security_alert", cut).when(kind != "link_state", F.col("value"))
     rejected = B.rejects(records(spark, sf_dir).withColumn("value", damaged))
-    return rejected.select("kafka_key", "kafka_partition", "kafka_offset", "reason")
+    raw = F.col("raw_value").cast("string").alias("raw_value")
+    return rejected.select("kafka_key", "kafka_partition", "kafka_offset", "reason", raw)
 
 
 @query
